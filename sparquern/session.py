@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import shutil
 import tempfile
@@ -33,14 +34,25 @@ def ready(spark: SparkSession) -> SparkSession:
     app = spark.sparkContext.applicationId
     if ROOT not in paths and app not in _shipped:
         folder = tempfile.mkdtemp(prefix="sparquern-ship-")
-        try:
-            archive = shutil.make_archive(f"{folder}/sparquern", "zip", ROOT, "sparquern")
-            spark.sparkContext.addPyFile(archive)
-        finally:
-            shutil.rmtree(folder, ignore_errors=True)
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        spark.sparkContext.addPyFile(shutil.make_archive(f"{folder}/sparquern", "zip", ROOT, "sparquern"))
         _shipped.add(app)
     return spark
 
 
+_own: list[str] = []
+
+
+def scratch_dir(spark: SparkSession) -> str:
+    """The folder of ``spark.checkpoint.dir``; one of our own only where that is unset, as on a single machine."""
+    found = spark.conf.get("spark.checkpoint.dir", None)
+    if found:
+        return found.rstrip("/")
+    if not _own:
+        _own.append(tempfile.mkdtemp(prefix="sparquern-"))
+        atexit.register(shutil.rmtree, _own[0], ignore_errors=True)
+    return f"file://{_own[0]}"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
