@@ -68,12 +68,14 @@ def mix_documents(df: DataFrame, weights: tuple[float, ...] = (5.0, 2.0, 1.0), s
     # U / (1 - U) over fixed odds rises with U, so the place of U among 2**52 steps ranks as the odds do
     u = (F.shiftrightunsigned("_draw", 12) + F.lit(0.5)) / F.lit(float(1 << 52))
     odds = F.greatest(F.col("p"), F.lit(1e-12)) / F.greatest(1 - F.col("p"), F.lit(1e-12))
-    keyed = slim.join(F.broadcast(plan) if _few(plan) else plan, slim["source"].eqNullSafe(plan["source"])).drop(plan["source"])
+    plan = plan.withColumnRenamed("source", "_source")
+    keyed = slim.join(F.broadcast(plan) if _few(plan) else plan, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
     keyed = keyed.withColumn("_rank", (u / (1 - u)) / odds).withColumn("_class", F.floor(u * BUCKETS).cast("int"))
     summed = keyed.groupBy("source", "_class").agg(F.sum("size").alias("_words"), F.first("rest").alias("_rest"))
     upto = summed.withColumn("_before", F.coalesce(F.sum("_words").over(Window.partitionBy("source").orderBy("_class").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     last = checkpointed(upto.filter((F.col("_before") < F.col("_rest")) & (F.col("_before") + F.col("_words") >= F.col("_rest"))).select("source", F.col("_class").alias("_last"), "_before").dropDuplicates(["source"]))
-    marked = keyed.join(F.broadcast(last) if _few(last) else last, keyed["source"].eqNullSafe(last["source"]), "left").drop(last["source"])
+    last = last.withColumnRenamed("source", "_source")
+    marked = keyed.join(F.broadcast(last) if _few(last) else last, F.col("source").eqNullSafe(F.col("_source")), "left").drop("_source")
     inside = marked.filter((F.col("rest") > 0) & (F.col("_class") == F.col("_last")))
     order = Window.partitionBy("source").orderBy("_rank", "doc_id", "size")
     after = F.col("_before") + F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0))
