@@ -216,7 +216,7 @@ def json_escaped(text):
 
 def quotes_escaped(text):
     """A backslash before each double quote that has none."""
-    return F.regexp_replace(col(text), r'(?<!\\)"', r'\\\\"')
+    return F.regexp_replace(col(text), r'(?<!\\)"', r'\\"')
 
 
 def readable_size(n):
