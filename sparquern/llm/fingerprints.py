@@ -82,7 +82,7 @@ def descending_runs(df: DataFrame, parts: int) -> DataFrame:
     """
     rows = df.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     bounds = sorted({int(x) for x in rows.stat.approxQuantile("doc_id", [i / parts for i in range(1, parts)], 0.25 / parts)}) if parts > 1 else []
-    below = F.size(F.filter(F.lit(bounds), lambda x: x <= F.col("doc_id"))) if bounds else F.lit(0)
+    below = _below(bounds) if bounds else F.lit(0)
     rows = rows.withColumn("_tie", F.xxhash64("text")).withColumn("_run", F.when(F.col("doc_id").isNull(), F.lit(len(bounds) + 1)).otherwise(F.lit(len(bounds)) - below))
     firsts = sorted((r["_run"], r["top"]) for r in rows.groupBy("_run").agg(F.max(F.struct("doc_id", "_tie")).alias("top")).collect())
     runs = [r for r, _ in firsts]
@@ -94,6 +94,14 @@ def descending_runs(df: DataFrame, parts: int) -> DataFrame:
     return both.repartitionByRange("_run").sortWithinPartitions("_run", "_ghost", F.col("doc_id").desc_nulls_last(), F.col("_tie").desc()).select("doc_id", "text", "_run", "_ghost")
 
 
+def _below(bounds: list[int]):
+    """How many of the sorted bounds are at most doc_id, looked up by every step-th bound and then among one step of them."""
+    step = max(1, int(len(bounds) ** 0.5))
+    coarse = F.size(F.filter(F.lit(bounds[::step]), lambda x: x <= F.col("doc_id")))
+    start = F.greatest(coarse - 1, F.lit(0)) * step
+    return start + F.size(F.filter(F.slice(F.lit(bounds), start + 1, F.lit(step)), lambda x: x <= F.col("doc_id")))
+
+
 def fingerprint_documents(df: DataFrame, samples: int = SAMPLES, parts: int | None = None) -> DataFrame:
     """Fingerprints of each text of (doc_id, text) and of its edited text, and their likeness.
 
