@@ -13,8 +13,8 @@ How large groups are kept linear:
 * then lists of at most ``hot`` entries give their pairs across what isn't joined yet;
 * longer lists (a passage that many documents hold, or near copies of one text) are left out there. Where
   at most half of a sketch is in such lists, the other half finds every partner. For classes with more
-  than half there, all members outside the component of a list's hub are compared with all members,
-  in blocks of sketches, so nothing is capped.
+  than half there, all members outside the largest component of a list's hub are compared with all members,
+  in blocks of full sets, so nothing is capped.
 
 With k = 48 a pair at the threshold passes every sketch filter but with a chance below 1e-6 (five
 standard deviations), and no such pair is skipped for the size of a list.
@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from .shared import WordHashes, arrow_map, checkpointed, free_shuffles, list_array, mixed, stored, words_of
 
-K, HOT, BLOCK, FILTER_BITS = 48, 32, 256, 1 << 24
+K, HOT, REACH, BLOCK, FILTER_BITS = 48, 32, 16, 256, 1 << 24
 FACTORS = mixed(np.arange(101, 101 + 64, dtype=np.int64)) | np.uint64(1)
 
 
@@ -156,9 +156,9 @@ def near_duplicates(df: DataFrame, percent: int = 75, width: int = 5, k: int = K
     joined = checkpointed(components(stars))
     free_shuffles(spark)
     placed = stored(entries.join(joined, "id", "left").withColumn("component", F.coalesce("component", "id")), "placed")
-    pairs = _pairs_of_lists(placed, percent, k, hot).unionByName(_pairs_of_hot_lists(placed, classes, percent, k, hot)).distinct()
-    more = confirmed(docs, pairs, width, percent)
-    final = checkpointed(components(stars.unionByName(more)))
+    more = confirmed(docs, _pairs_of_lists(placed, percent, k, hot), width, percent)
+    blocks = stored(_links_of_hot_lists(docs, placed, percent, width, k, hot), "block-links")
+    final = checkpointed(components(stars.unionByName(more).unionByName(blocks)))
     free_shuffles(spark)
     labels = classes.select("digest", "id").join(final, "id", "left").select("digest", F.coalesce("component", "id").alias("component"))
     out = rows.select("doc_id", "n_shingles", "digest").join(labels, "digest", "left")
@@ -176,35 +176,70 @@ def _pairs_of_lists(placed: DataFrame, percent: int, k: int, hot: int) -> DataFr
     return counted.filter(enough).select(F.col("id_a").alias("a"), F.col("id_b").alias("b"))
 
 
-def _pairs_of_hot_lists(placed: DataFrame, classes: DataFrame, percent: int, k: int, hot: int) -> DataFrame:
-    """Pairs across components among classes most of whose sketch lies in long lists, block by block."""
-    mostly = placed.filter(2 * F.col("hot") > F.least(F.lit(k), "n")).select("id", "n", "component", F.explode(F.filter("entries", lambda e: e["m"] > hot)).alias("e")).select("id", "n", "component", F.col("e.value").alias("value"))
-    lists = mostly.groupBy("value").agg(F.count(F.lit(1)).alias("m"), F.min("component").alias("least"), F.max("component").alias("most"), F.min(F.struct("id", "component")).alias("hub")).filter("least <> most")
-    members = mostly.join(lists.select("value", "m", F.col("hub.component").alias("main")), "value").join(classes.select("id", "sketch").dropDuplicates(["id"]), "id")
-    chunk = F.pmod(F.xxhash64("id"), F.ceil(F.col("m") / F.lit(float(BLOCK)))).alias("chunk")
-    item = F.struct("id", "n", "component", "sketch")
-    blocks = members.groupBy("value", chunk).agg(F.collect_list(item).alias("block"))
-    apart = members.filter("component <> main").groupBy("value", chunk).agg(F.collect_list(item).alias("apart"))
-    met = apart.select("value", "apart").join(blocks.select("value", "block"), "value")
+def _links_of_hot_lists(docs: DataFrame, placed: DataFrame, percent: int, width: int, k: int, hot: int) -> DataFrame:
+    """Links across components among classes most of whose sketch lies in long lists, block by block.
+
+    Two such classes that reach the threshold share one of their REACH smallest retained values of long
+    lists, so they share that list's hub too, and the hubs stand for the lists: copies of one text have
+    few hubs, however many values they share. For each hub the members outside its largest component are held
+    against all members, in blocks of about BLOCK classes of like size. A task confirms its pairs on the
+    full sets and hands on a link only where it joins what the block has not joined yet.
+    """
+    mostly = placed.filter(2 * F.col("hot") > F.least(F.lit(k), "n"))
+    values = F.slice(F.array_sort(F.filter("entries", lambda e: e["m"] > hot)), 1, REACH)
+    hubs = mostly.select("id", "n", "component", F.explode(F.array_distinct(F.transform(values, lambda e: e["hub"]["id"]))).alias("hub"))
+    parts = hubs.groupBy("hub", "component").agg(F.count(F.lit(1)).alias("c"))
+    groups = parts.groupBy("hub").agg(F.sum("c").alias("m"), F.count(F.lit(1)).alias("parts"), F.max_by("component", F.struct("c", "component")).alias("main")).filter("parts > 1")
+    members = stored(hubs.join(groups.select("hub", "m", "main"), "hub"), "members")
+    sets = sets_of(docs, members.select("id"), width)
+    ratio = 100 / percent
+    rows = members.join(sets.dropDuplicates(["id"]), "id").withColumn("band", F.floor(F.log("n") / F.lit(float(np.log(ratio)))).cast("int"))
+    rows = stored(rows.withColumn("chunk", F.pmod(F.xxhash64("id"), F.ceil(F.col("m") / F.lit(float(BLOCK))))), "blocks")
+    item = F.collect_list(F.struct("id", "component", "set"))
+    blocks = rows.groupBy("hub", "band", "chunk").agg(item.alias("block"))
+    near = blocks.select("hub", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)).alias("band"), "block")
+    apart = rows.filter("component <> main").groupBy("hub", "band", "chunk").agg(item.alias("apart"))
+    met = apart.select("hub", "band", "apart").join(near, ["hub", "band"])
 
     def make():
         def work(batch):
             for x, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                values, at = np.unique(np.concatenate([i["sketch"] for i in x + y]), return_inverse=True)
-                bag = np.zeros((len(x) + len(y), len(values)), np.float32)
-                bag[np.repeat(np.arange(len(x) + len(y)), [len(i["sketch"]) for i in x + y]), at] = 1
-                shared = bag[: len(x)] @ bag[len(x) :].T
-                n, m, c, d, i, j = (np.array([e[f] for e in z]) for f in ("n", "component", "id") for z in (x, y))
-                size = np.maximum(n[:, None], m[None, :])
-                good = (shared >= least_shared(np.minimum(k, size).astype(np.float64), percent)) & (c[:, None] != d[None, :]) & (100 * np.minimum(n[:, None], m[None, :]) >= percent * size)
-                p, q = np.nonzero(good)
-                yield {"a": np.minimum(i[p], j[q]), "b": np.maximum(i[p], j[q])}
+                yield _block_links(x, y, percent)
 
         return work
 
     return arrow_map(met.select("apart", "block"), make, "a long, b long", rows=4)
 
 
+def _block_links(x: list[dict], y: list[dict], percent: int) -> dict[str, list]:
+    """Links between two blocks, fewer than there are members: those that join components not joined yet."""
+    both = x + y
+    values, at, times = np.unique(np.concatenate([np.array(i["set"], np.int64) for i in both]), return_inverse=True, return_counts=True)
+    column = np.cumsum(times > 1) - 1  # values of one set alone meet nothing
+    row = np.repeat(np.arange(len(both)), [len(i["set"]) for i in both])
+    keep = times[at] > 1
+    bag = np.zeros((len(both), int((times > 1).sum())), np.float32)
+    bag[row[keep], column[at[keep]]] = 1
+    shared = (bag[: len(x)] @ bag[len(x) :].T).astype(np.int64)
+    n = np.array([len(i["set"]) for i in both], np.int64)
+    union = n[: len(x), None] + n[None, len(x) :] - shared
+    parent = {i["component"]: i["component"] for i in both}
+
+    def top(c):
+        while parent[c] != c:
+            parent[c] = parent[parent[c]]
+            c = parent[c]
+        return c
+
+    out = {"a": [], "b": []}
+    for p, q in zip(*np.nonzero(100 * shared >= percent * union), strict=True):
+        c, d = top(x[p]["component"]), top(y[q]["component"])
+        if c != d:
+            parent[max(c, d)] = min(c, d)
+            out["a"].append(x[p]["id"]), out["b"].append(y[q]["id"])
+    return out
+
+
 def drop_near_duplicates(df: DataFrame, **parameters) -> DataFrame:
     """The rows of df, with all their columns, of which one document of each component stays: that of the
     smallest doc_id, once. Rows of null doc_id stay."""
