@@ -203,27 +203,33 @@ def _links_of_hot_lists(docs: DataFrame, placed: DataFrame, percent: int, width:
 
     def make():
         def work(batch):
-            for x, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                yield _block_links(x, y, percent)
+            for x, y in zip(batch.column(0), batch.column(1), strict=True):
+                yield _block_links(*_block(x.values), *_block(y.values), percent)
 
         return work
 
     return arrow_map(met.select("apart", "block"), make, "a long, b long", rows=4)
 
 
-def _block_links(x: list[dict], y: list[dict], percent: int) -> dict[str, list]:
+def _block(members: pa.StructArray) -> tuple[list[int], list[int], list[np.ndarray]]:
+    """Ids, components and sets of a block, the sets as views of Arrow's memory."""
+    ids, parts, sets = members.flatten()
+    return ids.to_pylist(), parts.to_pylist(), [s.values.to_numpy() for s in sets]
+
+
+def _block_links(x: list[int], x_parts: list[int], x_sets: list[np.ndarray], y: list[int], y_parts: list[int], y_sets: list[np.ndarray], percent: int) -> dict[str, list]:
     """Links between two blocks, fewer than there are members: those that join components not joined yet."""
-    both = x + y
-    values, at, times = np.unique(np.concatenate([np.array(i["set"], np.int64) for i in both]), return_inverse=True, return_counts=True)
+    sets = x_sets + y_sets
+    n = np.array([len(s) for s in sets], np.int64)
+    values, at, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
     column = np.cumsum(times > 1) - 1  # values of one set alone meet nothing
-    row = np.repeat(np.arange(len(both)), [len(i["set"]) for i in both])
+    row = np.repeat(np.arange(len(sets)), n)
     keep = times[at] > 1
-    bag = np.zeros((len(both), int((times > 1).sum())), np.float32)
+    bag = np.zeros((len(sets), int((times > 1).sum())), np.float32)
     bag[row[keep], column[at[keep]]] = 1
     shared = (bag[: len(x)] @ bag[len(x) :].T).astype(np.int64)
-    n = np.array([len(i["set"]) for i in both], np.int64)
     union = n[: len(x), None] + n[None, len(x) :] - shared
-    parent = {i["component"]: i["component"] for i in both}
+    parent = {c: c for c in x_parts + y_parts}
 
     def top(c):
         while parent[c] != c:
@@ -233,10 +239,10 @@ def _block_links(x: list[dict], y: list[dict], percent: int) -> dict[str, list]:
 
     out = {"a": [], "b": []}
     for p, q in zip(*np.nonzero(100 * shared >= percent * union), strict=True):
-        c, d = top(x[p]["component"]), top(y[q]["component"])
+        c, d = top(x_parts[p]), top(y_parts[q])
         if c != d:
             parent[max(c, d)] = min(c, d)
-            out["a"].append(x[p]["id"]), out["b"].append(y[q]["id"])
+            out["a"].append(x[p]), out["b"].append(y[q])
     return out
 
 
