@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import WordHashes, arrow_map, free_shuffles, list_array, mixed, stored, words_of
+from .shared import WordHashes, arrow_map, free_shuffles, hash_words, list_array, mixed, stored, words_of
 
 END = b" end "  # no word holds a blank
 BUCKETS = 24
@@ -38,17 +38,36 @@ def bigram_keys(before: np.ndarray, word: np.ndarray) -> np.ndarray:
 
 
 class Tokens(WordHashes):
-    """Hashes of a text's words and its end, and of the token before each (the end for the first)."""
+    """Tokens of texts (their words and an end each) with the token before each (the end for the first).
 
-    def of(self, text: str | None) -> np.ndarray:
-        return self.hashes([*words_of(text), END])
+    Each distinct word is hashed, and looked up in the table of head words if there is one, once.
+    """
 
-    def batch(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Tokens of all texts, their contexts, and the number of tokens by text."""
-        parts = [self.of(t) for t in texts]
-        sizes = np.fromiter(map(len, parts), np.int64, len(parts))
-        flat = np.concatenate(parts) if parts else np.zeros(0, np.int64)
-        return flat, np.roll(flat, 1) if len(flat) else flat, sizes
+    def __init__(self, head: np.ndarray | None = None, bound: int = 450_000) -> None:
+        super().__init__(bound)
+        self.head, self.places = head, np.zeros(0, np.int32)
+
+    def batch(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Hashes of all tokens and of those before them, the same as places in the head (-1: not there), and the number of tokens by text."""
+        if len(self.words) > self.bound:
+            self.forget()
+            self.known, self.places = self.known[:0], self.places[:0]
+        words: list[bytes] = []
+        sizes = np.zeros(len(texts), np.int64)
+        for i, t in enumerate(texts):
+            before = len(words)
+            words += words_of(t)
+            words.append(END)
+            sizes[i] = len(words) - before
+        numbers = self.numbers(words)
+        if fresh := self.words[len(self.known) :]:
+            hashes = hash_words(fresh)
+            self.known = np.concatenate([self.known, hashes])
+            if self.head is not None:
+                self.places = np.concatenate([self.places, find(self.head, hashes).astype(np.int32)])
+        flat = self.known[numbers]
+        place = self.places[numbers] if self.head is not None else np.full(len(numbers), -1, np.int32)
+        return flat, np.roll(flat, 1), place, np.roll(place, 1), sizes
 
 
 def find(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
@@ -60,59 +79,68 @@ def find(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
 
 
 class Counter64:
-    """Counts by 64-bit key and part (kept, deleted); collapsed whenever much has gathered, so memory stays bounded."""
+    """Counts by 64-bit key and part (kept, deleted), with one tag a key; merged whenever much has gathered, so memory stays bounded."""
 
     def __init__(self, flush: int) -> None:
-        self.flush, self.keys, self.parts, self.n = flush, [], [], 0
-        self.merged = (np.zeros(0, np.int64), np.zeros((0, 2), np.int64))
+        self.flush = flush
+        self.reset()
+
+    def reset(self) -> None:
+        self.new: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        self.n = 0
+        self.keys, self.tags, self.counts = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros((0, 2), np.int64)
 
-    def add(self, keys: np.ndarray, deleted: np.ndarray) -> None:
-        self.keys.append(keys)
-        self.parts.append(deleted)
+    def add(self, keys: np.ndarray, tags: np.ndarray, deleted: np.ndarray) -> None:
+        self.new.append((keys, tags, deleted))
         self.n += len(keys)
         if self.n > self.flush:
             self.merge()
 
     def merge(self) -> None:
-        if not self.keys:
+        if not self.new:
             return
-        raw, deleted = np.concatenate(self.keys), np.concatenate(self.parts)
-        keys, at = np.unique(np.concatenate([self.merged[0], raw]), return_inverse=True)
-        old, new = at[: len(self.merged[0])], at[len(self.merged[0]) :]
-        counts = np.stack([np.bincount(new[~deleted], minlength=len(keys)), np.bincount(new[deleted], minlength=len(keys))], axis=1)
-        counts[old] += self.merged[1]
-        self.merged, self.keys, self.parts, self.n = (keys, counts), [], [], 0
+        keys, tags, deleted = (np.concatenate(x) for x in zip(*self.new, strict=True))
+        old = len(self.keys)
+        merged, first, at = np.unique(np.concatenate([self.keys, keys]), return_index=True, return_inverse=True)
+        counts = np.stack([np.bincount(at[old:][~deleted], minlength=len(merged)), np.bincount(at[old:][deleted], minlength=len(merged))], axis=1)
+        counts[at[:old]] += self.counts
+        self.keys, self.tags, self.counts, self.new, self.n = merged, np.concatenate([self.tags, tags])[first], counts, [], 0
 
     def rows(self) -> dict:
         self.merge()
-        keys, counts = self.merged
-        self.merged = (np.zeros(0, np.int64), np.zeros((0, 2), np.int64))
-        return {"key": keys, "kept": counts[:, 0], "deleted": counts[:, 1]}
+        out = {"key": self.keys, "tag": self.tags, "kept": self.counts[:, 0], "deleted": self.counts[:, 1]}
+        self.reset()
+        return out
 
 
-COUNTS = "key long, kept long, deleted long"
+COUNTS = "key long, tag long, kept long, deleted long"
 HELD = 1_500_000  # distinct keys that a task holds before it hands them on
 
 
-def count_keys(train: DataFrame, pick, shared=None) -> DataFrame:
-    """Counts by key over all rows of (part, text); ``pick(tokens, contexts, shared)`` gives keys and a mask or None."""
+def count_keys(train: DataFrame, pairs: bool = False, shared=None) -> DataFrame:
+    """Counts of the words, or of the pairs of head words (tag: the first of the two), over all rows of (part, text)."""
 
     def make():
-        tokens, counter = Tokens(), Counter64(1_000_000)
-        table = shared.value if shared is not None else None
+        tokens, counter = Tokens(shared.value if shared is not None else None), Counter64(1_000_000)
 
         def work(batch):
-            flat, before, sizes = tokens.batch(batch.column(1).to_pylist())
+            flat, before, place, context, sizes = tokens.batch(batch.column(1).to_pylist())
             deleted = np.repeat(batch.column(0).to_numpy(zero_copy_only=False).astype(bool), sizes)
-            keys, mask = pick(flat, before, table)
-            counter.add(keys if mask is None else keys[mask], deleted if mask is None else deleted[mask])
-            if len(counter.merged[0]) > HELD:
+            if pairs:
+                both = np.flatnonzero((place >= 0) & (context >= 0))
+                flat, before, deleted = flat[both], before[both], deleted[both]
+                counter.add(bigram_keys(before, flat), before, deleted)
+            else:
+                counter.add(flat, np.zeros(len(flat), np.int64), deleted)
+            if len(counter.keys) > HELD:
                 yield counter.rows()
 
         work.finish = lambda: [counter.rows()]
         return work
 
-    return arrow_map(train, make, COUNTS).groupBy("key").agg(F.sum("kept").alias("kept"), F.sum("deleted").alias("deleted"))
+    sums = [F.sum("kept").alias("kept"), F.sum("deleted").alias("deleted")]
+    counted = arrow_map(train, make, COUNTS)
+    return counted.groupBy("key").agg(F.min("tag").alias("tag"), *sums) if pairs else counted.groupBy("key").agg(*sums)
 
 
 @dataclass
@@ -133,18 +161,14 @@ class Head:
         share = count / max(1, self.total[which])
         return np.where(count > 0, np.clip(BUCKETS + np.floor(np.log2(np.maximum(share, 1e-12))), 1, BUCKETS - 1), 0).astype(np.int64)
 
-    def features(self, tokens: np.ndarray, before: np.ndarray, which: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """For each token its place in words (-1: a rare one), its context's bucket, and f2."""
-        distinct, at = np.unique(tokens, return_inverse=True)
-        place = find(self.words, distinct)[at]
-        distinct, at = np.unique(before, return_inverse=True)
-        context = find(self.words, distinct)[at]
+    def features(self, tokens: np.ndarray, before: np.ndarray, place: np.ndarray, context: np.ndarray, which: int) -> tuple[np.ndarray, np.ndarray]:
+        """The bucket of each token's context, and f2."""
         f2 = np.zeros(len(tokens))
         both = np.flatnonzero((place >= 0) & (context >= 0))
         pair = find(self.pairs, bigram_keys(before[both], tokens[both]))
         hit = pair >= 0
         f2[both[hit]] = self.pair_counts[pair[hit], which] / np.maximum(1, self.contexts[context[both[hit]], which])
-        return place, self.bucket(context, which), f2
+        return self.bucket(context, which), f2
 
 
 def learn_weights(cells: list[tuple[int, float, float, float]], floor: float, rounds: int = 40) -> np.ndarray:
@@ -182,46 +206,28 @@ def fit(df: DataFrame, share: float = 2.0**-20, modulus: int = 7, out: int = 2,
     spark = df.sparkSession
     part = remainder(modulus)
     train = df.filter(part != out).select((part == deleted).alias("part"), F.col("text").cast("string").alias("text"))
-    unigrams = stored(count_keys(train, lambda flat, _, __: (flat, None)), "unigrams")
+    unigrams = stored(count_keys(train), "unigrams")
     sums = unigrams.agg(F.sum("kept"), F.sum(F.col("kept") + F.col("deleted")), F.count(F.when(F.col("kept") > 0, 1)), F.count(F.lit(1))).first()
     total, vocabulary = np.array([sums[0] or 0, sums[1] or 0]), np.array([sums[2], sums[3]])
     least = max(1.0, share * float(total[1]))
-    words, word_counts = _collected(unigrams.filter(F.col("kept") + F.col("deleted") >= least))
+    words, word_counts, _ = _collected(unigrams.filter(F.col("kept") + F.col("deleted") >= least).withColumn("tag", F.lit(0).cast("long")))
     heads = spark.sparkContext.broadcast(words)
-    pairs_of = count_keys(train, lambda flat, before, head: (bigram_keys(before, flat), _in(head, flat) & _in(head, before)), heads)
-    # the pair's words aren't kept with its key: contexts are summed by a second key, that of the context
-    pairs = stored(pairs_of.filter(F.col("kept") + F.col("deleted") >= least), "bigrams")
-    keys, pair_counts = _collected(pairs)
-    head = Head(words, word_counts, keys, pair_counts, np.zeros((len(words), 2), np.int64), total, vocabulary)
-    shared = spark.sparkContext.broadcast((words, keys))
-    by_context = count_keys(train, _kept_contexts, shared)
-    at_keys, at_counts = _collected(by_context)
-    head.contexts[find(words, at_keys)] = at_counts
+    keys, pair_counts, firsts = _collected(count_keys(train, True, heads).filter(F.col("kept") + F.col("deleted") >= least))
+    contexts = np.zeros((len(words), 2), np.int64)
+    np.add.at(contexts, find(words, firsts), pair_counts)
+    head = Head(words, word_counts, keys, pair_counts, contexts, total, vocabulary)
     weights = _weights(train, unigrams, head)
     free_shuffles(spark)
     return unigrams, head, weights
 
 
-def _kept_contexts(flat: np.ndarray, before: np.ndarray, tables) -> tuple[np.ndarray, np.ndarray]:
-    words, pairs = tables
-    both = _in(words, flat) & _in(words, before)
-    hit = np.zeros(len(flat), bool)
-    hit[both] = find(pairs, bigram_keys(before[both], flat[both])) >= 0
-    return before, hit
-
-
-def _in(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-    distinct, at = np.unique(wanted, return_inverse=True)
-    return (find(keys, distinct) >= 0)[at]
-
-
-def _collected(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """A table of at most 1 / share rows as sorted keys and (kept, all) counts."""
+def _collected(counts: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A table of at most 1 / share rows as sorted keys, (kept, all) counts, and tags."""
     t = counts.toArrow()
-    keys = t.column("key").to_numpy()
+    keys, tags = t.column("key").to_numpy(), t.column("tag").to_numpy()
     kept, deleted = t.column("kept").to_numpy(), t.column("deleted").to_numpy()
     order = np.argsort(keys)
-    return keys[order], np.stack([kept, kept + deleted], axis=1)[order]
+    return keys[order], np.stack([kept, kept + deleted], axis=1)[order], tags[order]
 
 
 def _weights(train: DataFrame, unigrams: DataFrame, head: Head) -> np.ndarray:
@@ -229,19 +235,24 @@ def _weights(train: DataFrame, unigrams: DataFrame, head: Head) -> np.ndarray:
     shared = train.sparkSession.sparkContext.broadcast(head)
 
     def make():
-        tokens, h = Tokens(), shared.value
+        h = shared.value
+        tokens = Tokens(h.words)
+        f1 = _binned(h.word_counts[:, 0] / max(1, h.total[0])) if len(h.words) else np.zeros(1, np.int64)
 
         def work(batch):
-            flat, before, _ = tokens.batch(batch.column(1).to_pylist())
-            place, bucket, f2 = h.features(flat, before, 0)
+            flat, before, place, context, _ = tokens.batch(batch.column(1).to_pylist())
+            bucket, f2 = h.features(flat, before, place, context, 0)
             rare = place < 0
-            bins = np.stack([bucket, _binned(f2), np.where(rare, -2, _binned(h.word_counts[place, 0] / max(1, h.total[0])) if len(h.words) else -2), np.where(rare, flat, 0)], axis=1)
-            rows, n = np.unique(bins, axis=0, return_counts=True)
-            yield {"bucket": rows[:, 0], "f2": rows[:, 1], "f1": rows[:, 2], "key": rows[:, 3], "n": n}
+            known = np.flatnonzero(~rare)
+            codes, n = np.unique((bucket[known] << 24) | ((_binned(f2[known]) + 1) << 12) | (f1[place[known]] + 1), return_counts=True)
+            yield {"bucket": codes >> 24, "f2": (codes >> 12 & 4095) - 1, "f1": (codes & 4095) - 1, "key": np.zeros(len(codes), np.int64), "n": n}
+            _, first, n = np.unique(mixed(flat[rare]).view(np.int64) + bucket[rare], return_index=True, return_counts=True)
+            yield {"bucket": bucket[rare][first], "f2": np.full(len(first), -1), "f1": np.full(len(first), -2), "key": flat[rare][first], "n": n}
 
         return work
 
     cells = arrow_map(train.filter("part"), make, "bucket long, f2 long, f1 long, key long, n long", rows=2048)
+    cells = stored(cells, "cells")
     rare = cells.filter("f1 = -2").groupBy("key", "bucket", "f2").agg(F.sum("n").alias("n")).join(unigrams.select("key", "kept"), "key", "left")
     f1 = F.when(F.coalesce(F.col("kept"), F.lit(0)) > 0, F.floor(-F.log2(F.col("kept") / F.lit(float(max(1, head.total[0])))) * 8)).otherwise(F.lit(-1)).cast("long")
     table = cells.filter("f1 <> -2").select("bucket", "f2", "f1", "n").unionByName(rare.select("bucket", "f2", f1.alias("f1"), "n")).groupBy("bucket", "f2", "f1").agg(F.sum("n").alias("n"))
@@ -265,49 +276,42 @@ def score_documents(df: DataFrame, share: float = 2.0**-20, modulus: int = 7, ou
     def make():
         from pyspark import TaskContext
 
-        tokens, (h, w) = Tokens(), shared.value
+        h, w = shared.value
+        tokens = Tokens(h.words)
         state = {"row": TaskContext.get().partitionId() << 33}
 
         def work(batch):
-            flat, before, sizes = tokens.batch(batch.column(2).to_pylist())
-            place, bucket, f2 = h.features(flat, before, 1)
+            flat, before, place, context, sizes = tokens.batch(batch.column(2).to_pylist())
+            bucket, f2 = h.features(flat, before, place, context, 1)
             rare = place < 0
             count = np.where(rare, 0, h.word_counts[place, 1] if len(h.words) else 0)
             base = np.where(rare, 0.0, np.log10((count + 1) / (n + v + 1)))
             lam = w[bucket]
             model = np.where(rare, 0.0, np.log10(lam[:, 0] * f2 + lam[:, 1] * count / max(1, n) + lam[:, 2] / (v + 1)))
             starts = np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(np.int64)
-            doc = np.repeat(np.arange(len(sizes)), sizes)
-            left = np.stack([doc[rare], bucket[rare], flat[rare]], axis=1)
-            order = np.lexsort((left[:, 2], left[:, 1], left[:, 0]))
-            left = left[order]
-            new = np.ones(len(left), bool)
-            new[1:] = (left[1:] != left[:-1]).any(axis=1)
-            where = np.flatnonzero(new)
-            times = np.diff(np.append(where, len(left)))
-            left = left[where]
-            bounds = np.searchsorted(left[:, 0], np.arange(len(sizes) + 1))
+            left = np.flatnonzero(rare)
+            bounds = np.searchsorted(left, np.append(starts, len(flat)))
             cut = lambda x: [x[bounds[i] : bounds[i + 1]] for i in range(len(sizes))]
             yield {
                 "row": np.arange(state["row"], state["row"] + len(sizes)), "doc_id": batch.column(0), "held_out": batch.column(1), "n_tokens": sizes,
                 "known": np.add.reduceat(~rare, starts, dtype=np.int64), "base": np.add.reduceat(base, starts), "model": np.add.reduceat(model, starts),
-                "keys": list_array(cut(left[:, 2]), pa.int64()), "buckets": list_array(cut(left[:, 1]), pa.int32()), "times": list_array(cut(times), pa.int32()),
+                "keys": list_array(cut(flat[left]), pa.int64()), "buckets": list_array(cut(bucket[left]), pa.int32()),
             }
             state["row"] += len(sizes)
 
         return work
 
-    docs = stored(arrow_map(slim, make, "row long, doc_id long, held_out boolean, n_tokens long, known long, base double, model double, keys array<long>, buckets array<int>, times array<int>"), "scored")
-    rare = docs.select("row", F.explode(F.arrays_zip("keys", "buckets", "times")).alias("x")).select("row", F.col("x.keys").alias("key"), F.col("x.buckets").alias("bucket"), F.col("x.times").alias("times"))
+    docs = stored(arrow_map(slim, make, "row long, doc_id long, held_out boolean, n_tokens long, known long, base double, model double, keys array<long>, buckets array<int>"), "scored")
+    rare = docs.select("row", F.explode(F.arrays_zip("keys", "buckets")).alias("x")).select("row", F.col("x.keys").alias("key"), F.col("x.buckets").alias("bucket"))
     counts = unigrams.select("key", (F.col("kept") + F.col("deleted")).alias("count"))
     c = F.coalesce(F.col("count"), F.lit(0))
     of = lambda i: F.element_at(F.lit([float(x) for x in weights[:, i]]), F.col("bucket") + 1)
     p = of(1) * c / F.lit(float(max(1, n))) + of(2) / F.lit(float(v + 1))
     parts = rare.join(counts, "key", "left").groupBy("row").agg(
-        F.sum(F.when(c > 0, F.col("times")).otherwise(0)).alias("_known"), F.sum(F.col("times") * F.log10((c + 1) / F.lit(float(n + v + 1)))).alias("_base"), F.sum(F.col("times") * F.log10(p)).alias("_model")
+        F.sum(F.when(c > 0, 1).otherwise(0)).alias("_known"), F.sum(F.log10((c + 1) / F.lit(float(n + v + 1)))).alias("_base"), F.sum(F.log10(p)).alias("_model")
     )
     zero = F.lit(0.0)
-    return docs.drop("keys", "buckets", "times").join(parts, "row", "left").select(
+    return docs.drop("keys", "buckets").join(parts, "row", "left").select(
         "doc_id", "held_out", "n_tokens", (F.col("known") + F.coalesce("_known", F.lit(0))).cast("long").alias("n_known"), F.lit(n).cast("long").alias("train_tokens"),
         (F.col("base") + F.coalesce("_base", zero)).alias("base_score"), (F.col("model") + F.coalesce("_model", zero)).alias("score"),
     )
