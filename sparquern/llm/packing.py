@@ -123,7 +123,6 @@ def pack_documents(df: DataFrame, capacity: int = 1024, end_id: int = 0, vocabul
                 for length in cuts(n, capacity, least):
                     rows += bins.put((doc, start, length, ids[4 * start : 4 * (start + length)], n))
                     start += length
-            pieces.trim()
             yield columns(rows)
 
         work.finish = lambda: [columns(bins.finish())]

@@ -3,8 +3,14 @@
 from __future__ import annotations
 
 import re
+from array import array
 
 import numpy as np
+import regex
+
+# How the two vocabularies part a text before their merges.
+SPACED_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 
 def vocabulary_path(name: str) -> str:
@@ -14,23 +20,64 @@ def vocabulary_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def byte_letters() -> dict[int, str]:
+    """The letters that stand for bytes in byte-level vocabularies: printable ones for themselves, the others from U+0100 on."""
+    plain = {*range(ord("!"), ord("~") + 1), *range(ord("¡"), ord("¬") + 1), *range(ord("®"), ord("ÿ") + 1)}
+    others = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(others)}
+
+
 class PieceCache(dict):
-    """Piece of text to its ids as little-endian unsigned 32-bit bytes. At most ``bound`` pieces are held."""
+    """Piece of text to its ids as little-endian unsigned 32-bit bytes. At most ``bound`` pieces are held.
+
+    Most pieces are of common Latin letters. Those are parted here and given to the tokenizer's merges
+    directly, which is the same work without the cost of a whole encoding; all others are encoded whole.
+    """
 
-    def __init__(self, path: str, bound: int = 250_000) -> None:
+    COMMON = re.compile(r"[\n -~À-įı-ɏ]+")
+    #: A word and signs after it, which both patterns part in two.
+    PLAIN = re.compile(r"( ?[A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
+    PATTERN = SPACED_PATTERN
+
+    def __init__(self, path: str, bound: int = 350_000) -> None:
         from tokenizers import Tokenizer
 
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.merges = self.tokenizer.model.tokenize
+        self.parts = regex.compile(self.PATTERN).findall
+        self.letters = {chr(b): c for b, c in byte_letters().items()}
+        self.table = str.maketrans(self.letters)
         self.bound = bound
+        self.recent: dict = {}
 
     def encode(self, text: str) -> bytes:
         return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def trim(self) -> None:
-        if len(self) > self.bound:
-            self.clear()
+    def encode_piece(self, text: str) -> bytes:
+        merges, table = self.merges, self.table
+        if m := self.PLAIN.fullmatch(text):
+            word, signs = m.groups()
+            tokens = merges(word.encode().decode("latin-1").translate(table))
+            if signs:
+                tokens += merges(signs)
+        elif self.COMMON.fullmatch(text):
+            tokens = [t for part in self.parts(text) for t in merges(part.encode().decode("latin-1").translate(table))]
+        else:
+            return self.encode(text)
+        return array("I", [t.id for t in tokens]).tobytes()
+
+    def keep(self, piece, ids: bytes) -> bytes:
+        """The first ``bound`` pieces stay for good, among them the frequent ones; later ones until a quarter as many have come."""
+        if len(piece) <= 64:
+            if len(self) < self.bound:
+                self[piece] = ids
+            else:
+                if len(self.recent) > self.bound // 4:
+                    self.recent.clear()
+                self.recent[piece] = ids
+        return ids
 
 
 class SpacedPieces(PieceCache):
@@ -41,29 +88,31 @@ class SpacedPieces(PieceCache):
     """
 
     CUT = re.compile(r"(?<=[^\s]) (?=[^\s])")
-    ODD = re.compile(r"\s | \s|^ | $")
+    RARE = re.compile(r"[\t\r\x0b\x0c\x1c-\x1f\x85\xa0  -     　]")
 
     def __missing__(self, part: str) -> bytes:
-        ids = self.encode(" " + part)
-        if len(part) <= 64:
-            self[part] = ids
-        return ids
+        return self.recent.get(part) or self.keep(part, self.encode_piece(" " + part))
 
     def ids(self, text: str) -> bytes:
         if not text:
             return b""
-        first, *rest = text.split(" ") if not self.ODD.search(text) else self.CUT.split(text)
-        return self.encode(first) + b"".join(map(self.__getitem__, rest))
+        parts = text.split(" ")
+        if "" in parts or " \n" in text or "\n " in text or self.RARE.search(text):
+            parts = self.CUT.split(text)
+        return self.encode_piece(parts[0]) + b"".join(map(self.__getitem__, parts[1:]))
 
 
 class WordPieces(PieceCache):
-    """For a BPE that drops white space and never joins text across it."""
+    """For a BPE of lower-case text that drops white space and never joins text across it."""
+
+    PATTERN = WORD_PATTERN
 
     def __missing__(self, word: bytes) -> bytes:
-        ids = self.encode(word.decode("utf-8", "replace"))
-        if len(word) <= 64:
-            self[word] = ids
-        return ids
+        found = self.recent.get(word)
+        if found is not None:
+            return found
+        text = word.decode("utf-8", "replace")
+        return self.keep(word, self.encode_piece(text.lower() if self.COMMON.fullmatch(text) else text))
 
     def ids(self, text: str) -> bytes:
         return b"".join(map(self.__getitem__, text.encode("utf-8", "replace").split()))
