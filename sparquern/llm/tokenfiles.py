@@ -26,7 +26,7 @@ from .shared import arrow_map, scratch_dir
 from .tokens import WordPieces, vocabulary_path
 
 MAGIC = b"PFR1"
-BLOCK = 512
+BLOCK = 1024
 HEAD = struct.Struct("<4sIQII")
 DOC = np.dtype([("id", "<i8"), ("has", "u1"), ("n", "<u4")])
 
@@ -34,15 +34,16 @@ DOC = np.dtype([("id", "<i8"), ("has", "u1"), ("n", "<u4")])
 def pack_bits(values: np.ndarray, width: int) -> bytes:
     if not width:
         return b""
-    bits = ((values[:, None] >> np.arange(width, dtype=np.uint32)) & 1).astype(np.uint8)
-    return np.packbits(bits.ravel(), bitorder="little").tobytes()
+    bits = np.unpackbits(values.astype("<u4").view(np.uint8).reshape(-1, 4), axis=1, bitorder="little")
+    return np.packbits(bits[:, :width].ravel(), bitorder="little").tobytes()
 
 
 def unpack_bits(data: bytes, n: int, width: int) -> np.ndarray:
     if not width:
         return np.zeros(n, np.uint32)
-    bits = np.unpackbits(np.frombuffer(data, np.uint8), count=n * width, bitorder="little").reshape(n, width)
-    return bits.astype(np.uint32) @ (np.uint32(1) << np.arange(width, dtype=np.uint32))
+    bits = np.zeros((n, 32), np.uint8)
+    bits[:, :width] = np.unpackbits(np.frombuffer(data, np.uint8), count=n * width, bitorder="little").reshape(n, width)
+    return np.packbits(bits, axis=1, bitorder="little").view("<u4").ravel().astype(np.uint32)
 
 
 def encode_block(ids: np.ndarray, percentile: float = 0.95) -> bytes:
@@ -125,7 +126,6 @@ def write_token_files(df: DataFrame, path: str, end_id: int = 2, vocabulary: str
                 state["ids"] += len(ids) // 4
                 if state["ids"] >= ids_a_file:
                     yield flush()
-            pieces.trim()
 
         work.finish = lambda: [flush()] if state["docs"] else []
         return work
