@@ -13,7 +13,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 
 from .shared import arrow_map
-from .tokens import SpacedPieces, vocabulary_path
+from .tokens import SpacedPieces, shared_pieces, vocabulary_path
 
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, capacity long"
 
@@ -108,7 +108,7 @@ def pack_documents(df: DataFrame, capacity: int = 1024, end_id: int = 0, vocabul
     def make():
         from pyspark import TaskContext
 
-        pieces, end = SpacedPieces(path), int(end_id).to_bytes(4, "little")
+        pieces, end = shared_pieces(SpacedPieces, path), int(end_id).to_bytes(4, "little")
         bins = HarmonicBins(capacity, TaskContext.get().partitionId() << 33)
 
         def columns(rows: list[tuple]) -> dict[str, list]:

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .shared import arrow_map, scratch_dir
-from .tokens import WordPieces, vocabulary_path
+from .tokens import WordPieces, shared_pieces, vocabulary_path
 
 MAGIC = b"PFR1"
 BLOCK = 1024
@@ -110,7 +110,7 @@ def write_token_files(df: DataFrame, path: str, end_id: int = 2, vocabulary: str
     def make():
         from pyspark import TaskContext
 
-        pieces, end = WordPieces(vocab), int(end_id).to_bytes(4, "little")
+        pieces, end = shared_pieces(WordPieces, vocab), int(end_id).to_bytes(4, "little")
         state = {"docs": [], "ids": 0, "file": 0, "first": 0}
         part = TaskContext.get().partitionId()
 

@@ -116,3 +116,18 @@ class WordPieces(PieceCache):
 
     def ids(self, text: str) -> bytes:
         return b"".join(map(self.__getitem__, text.encode("utf-8", "replace").split()))
+
+
+_shared: dict[tuple[type[PieceCache], str], tuple[PieceCache, int]] = {}
+
+
+def shared_pieces(kind: type[PieceCache], path: str, tasks: int = 8) -> PieceCache:
+    """One cache for the next ``tasks`` tasks of a Python worker, which so loads the vocabulary and meets frequent words once.
+
+    After them a new one begins, so that a worker doesn't keep the words of one kind of text for good.
+    """
+    found, used = _shared.get((kind, path), (None, tasks))
+    if found is None or used >= tasks:
+        found, used = kind(path), 0
+    _shared[kind, path] = found, used + 1
+    return found
