@@ -13,6 +13,7 @@ the unigrams. All counts cover all training documents.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -106,15 +107,19 @@ class Counter64:
         counts[at[:old]] += self.counts
         self.keys, self.tags, self.counts, self.new, self.n = merged, np.concatenate([self.tags, tags])[first], counts, [], 0
 
-    def rows(self) -> dict:
+    def rows(self) -> Iterator[dict]:
+        """All counts in batches of ``SENT`` rows, so that neither side holds a second copy of the whole."""
         self.merge()
-        out = {"key": self.keys, "tag": self.tags, "kept": self.counts[:, 0], "deleted": self.counts[:, 1]}
+        keys, tags, counts = self.keys, self.tags, self.counts
         self.reset()
-        return out
+        for i in range(0, len(keys), SENT):
+            part = slice(i, i + SENT)
+            yield {"key": keys[part], "tag": tags[part], "kept": counts[part, 0], "deleted": counts[part, 1]}
 
 
 COUNTS = "key long, tag long, kept long, deleted long"
 HELD = 1_500_000  # distinct keys that a task holds before it hands them on
+SENT = 1 << 17
 
 
 def count_keys(train: DataFrame, pairs: bool = False, shared=None) -> DataFrame:
@@ -133,9 +138,9 @@ def count_keys(train: DataFrame, pairs: bool = False, shared=None) -> DataFrame:
             else:
                 counter.add(flat, np.zeros(len(flat), np.int64), deleted)
             if len(counter.keys) > HELD:
-                yield counter.rows()
+                yield from counter.rows()
 
-        work.finish = lambda: [counter.rows()]
+        work.finish = counter.rows
         return work
 
     sums = [F.sum("kept").alias("kept"), F.sum("deleted").alias("deleted")]
