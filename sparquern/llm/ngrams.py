@@ -5,10 +5,10 @@ and f1 and weights (a, b, c) by the frequency bucket of the context h. The weigh
 expectation-maximisation on held-out counts: f1 and f2 are estimated from all but one part of the
 training documents (the deleted part), and the part's own counts train the weights.
 
-Unigrams are counted for all words, however many there are; rare ones are joined in by shuffle.
-Words and bigrams whose share of all training tokens is at least ``share`` form tables of at most
-1 / share entries at any size of the corpus, and only these are broadcast; other bigrams are left to
-the unigrams. All counts cover all training documents.
+Unigrams and bigrams are counted for all words and pairs of words, however many there are, in stored
+tables. Those whose share of all training tokens is at least ``share`` form tables of at most 1 / share
+entries at any size of the corpus, and only these are broadcast; the counts of all others are joined in
+by shuffle, so ``share`` says where a count is looked up and not what the model holds.
 """
 
 from __future__ import annotations
@@ -80,19 +80,19 @@ def find(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
 
 
 class Counter64:
-    """Counts by 64-bit key and part (kept, deleted), with one tag a key; merged whenever much has gathered, so memory stays bounded."""
+    """Counts by 64-bit key and part (kept, deleted); merged whenever much has gathered, so memory stays bounded."""
 
     def __init__(self, flush: int) -> None:
         self.flush = flush
         self.reset()
 
     def reset(self) -> None:
-        self.new: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        self.new: list[tuple[np.ndarray, np.ndarray]] = []
         self.n = 0
-        self.keys, self.tags, self.counts = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros((0, 2), np.int64)
+        self.keys, self.counts = np.zeros(0, np.int64), np.zeros((0, 2), np.int64)
 
-    def add(self, keys: np.ndarray, tags: np.ndarray, deleted: np.ndarray) -> None:
-        self.new.append((keys, tags, deleted))
+    def add(self, keys: np.ndarray, deleted: np.ndarray) -> None:
+        self.new.append((keys, deleted))
         self.n += len(keys)
         if self.n > self.flush:
             self.merge()
@@ -100,52 +100,113 @@ class Counter64:
     def merge(self) -> None:
         if not self.new:
             return
-        keys, tags, deleted = (np.concatenate(x) for x in zip(*self.new, strict=True))
+        keys, deleted = (np.concatenate(x) for x in zip(*self.new, strict=True))
         old = len(self.keys)
-        merged, first, at = np.unique(np.concatenate([self.keys, keys]), return_index=True, return_inverse=True)
+        merged, at = np.unique(np.concatenate([self.keys, keys]), return_inverse=True)
         counts = np.stack([np.bincount(at[old:][~deleted], minlength=len(merged)), np.bincount(at[old:][deleted], minlength=len(merged))], axis=1)
         counts[at[:old]] += self.counts
-        self.keys, self.tags, self.counts, self.new, self.n = merged, np.concatenate([self.tags, tags])[first], counts, [], 0
+        self.keys, self.counts, self.new, self.n = merged, counts, [], 0
 
     def rows(self) -> Iterator[dict]:
         """All counts in batches of ``SENT`` rows, so that neither side holds a second copy of the whole."""
         self.merge()
-        keys, tags, counts = self.keys, self.tags, self.counts
+        keys, counts = self.keys, self.counts
         self.reset()
         for i in range(0, len(keys), SENT):
             part = slice(i, i + SENT)
-            yield {"key": keys[part], "tag": tags[part], "kept": counts[part, 0], "deleted": counts[part, 1]}
+            yield {"key": keys[part], "kept": counts[part, 0], "deleted": counts[part, 1]}
 
 
-COUNTS = "key long, tag long, kept long, deleted long"
+COUNTS = "key long, kept long, deleted long"
 HELD = 1_500_000  # distinct keys that a task holds before it hands them on
 SENT = 1 << 17
 
 
-def count_keys(train: DataFrame, pairs: bool = False, shared=None) -> DataFrame:
-    """Counts of the words, or of the pairs of head words (tag: the first of the two), over all rows of (part, text)."""
+def _counted(df: DataFrame, keys_of) -> DataFrame:
+    """Counts by key over all rows; ``keys_of()`` makes a function from a batch to the keys and whether each is of the deleted part."""
 
     def make():
-        tokens, counter = Tokens(shared.value if shared is not None else None), Counter64(1_000_000)
+        keys, counter = keys_of(), Counter64(1_000_000)
 
         def work(batch):
-            flat, before, place, context, sizes = tokens.batch(batch.column(1).to_pylist())
-            deleted = np.repeat(batch.column(0).to_numpy(zero_copy_only=False).astype(bool), sizes)
-            if pairs:
-                both = np.flatnonzero((place >= 0) & (context >= 0))
-                flat, before, deleted = flat[both], before[both], deleted[both]
-                counter.add(bigram_keys(before, flat), before, deleted)
-            else:
-                counter.add(flat, np.zeros(len(flat), np.int64), deleted)
+            counter.add(*keys(batch))
             if len(counter.keys) > HELD:
                 yield from counter.rows()
 
         work.finish = counter.rows
         return work
 
-    sums = [F.sum("kept").alias("kept"), F.sum("deleted").alias("deleted")]
-    counted = arrow_map(train, make, COUNTS)
-    return counted.groupBy("key").agg(F.min("tag").alias("tag"), *sums) if pairs else counted.groupBy("key").agg(*sums)
+    return arrow_map(df, make, COUNTS).groupBy("key").agg(F.sum("kept").alias("kept"), F.sum("deleted").alias("deleted"))
+
+
+def count_words(train: DataFrame) -> DataFrame:
+    """Counts of the words over all rows of (part, text)."""
+
+    def keys_of():
+        tokens = Tokens()
+
+        def keys(batch):
+            flat, _, _, _, sizes = tokens.batch(batch.column(1).to_pylist())
+            return flat, np.repeat(batch.column(0).to_numpy(zero_copy_only=False).astype(bool), sizes)
+
+        return keys
+
+    return _counted(train, keys_of)
+
+
+ENCODED = "row long, doc_id long, part int, places array<int>, rare array<long>"
+KEPT, DELETED, OUT = 0, 1, 2
+
+
+def encoded(df: DataFrame, heads) -> DataFrame:
+    """Each row of (doc_id, part, text) as its tokens' places in the head words (-1: not there), and the hashes of those that aren't there."""
+
+    def make():
+        from pyspark import TaskContext
+
+        tokens, state = Tokens(heads.value), {"row": TaskContext.get().partitionId() << 33}
+
+        def work(batch):
+            flat, _, place, _, sizes = tokens.batch(batch.column(2).to_pylist())
+            bounds = np.concatenate([[0], np.cumsum(sizes)])
+            left = np.flatnonzero(place < 0)
+            among = np.searchsorted(left, bounds)
+            yield {
+                "row": np.arange(state["row"], state["row"] + len(sizes)), "doc_id": batch.column(0), "part": batch.column(1),
+                "places": list_array([place[a:b] for a, b in zip(bounds, bounds[1:])], pa.int32()), "rare": list_array([flat[left[a:b]] for a, b in zip(among, among[1:])], pa.int64()),
+            }
+            state["row"] += len(sizes)
+
+        return work
+
+    return arrow_map(df, make, ENCODED)
+
+
+def _decoded(batch: pa.RecordBatch, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """What Tokens.batch() gives, from encoded rows."""
+    lists = batch.column(3)
+    sizes = np.diff(lists.offsets.to_numpy()).astype(np.int64)
+    place = lists.flatten().to_numpy()
+    rare = place < 0
+    flat = np.empty(len(place), np.int64)
+    flat[~rare] = words[place[~rare]]
+    flat[rare] = batch.column(4).flatten().to_numpy()
+    return flat, np.roll(flat, 1), place, np.roll(place, 1), sizes
+
+
+def count_pairs(rows: DataFrame, heads) -> DataFrame:
+    """Counts of all pairs of a token and the one before it, over encoded rows."""
+
+    def keys_of():
+        words = heads.value
+
+        def keys(batch):
+            flat, before, _, _, sizes = _decoded(batch, words)
+            return bigram_keys(before, flat), np.repeat(batch.column(2).to_numpy() == DELETED, sizes)
+
+        return keys
+
+    return _counted(rows.filter(F.col("part") != OUT), keys_of)
 
 
 @dataclass
@@ -156,13 +217,15 @@ class Head:
     word_counts: np.ndarray  # (n, 2)
     pairs: np.ndarray
     pair_counts: np.ndarray
-    contexts: np.ndarray  # counts of the kept pairs of each head word as context, (n, 2)
     total: np.ndarray  # tokens: kept part, all
     vocabulary: np.ndarray  # distinct tokens: kept part, all
 
     def bucket(self, context: np.ndarray, which: int) -> np.ndarray:
-        """Bucket by the frequency of the context's place in words (-1: a rare one, bucket 0): powers of two of its share."""
-        count = np.where(context >= 0, self.contexts[context, which] if len(self.contexts) else 0, 0)
+        """Bucket by the frequency of the context's place in words (-1: not there, bucket 0): powers of two of its share.
+
+        Each token but the ends is followed by one token, and each end stands before the first of one text, so a
+        context occurs as often as the word."""
+        count = np.where(context >= 0, self.word_counts[context, which] if len(self.words) else 0, 0)
         share = count / max(1, self.total[which])
         return np.where(count > 0, np.clip(BUCKETS + np.floor(np.log2(np.maximum(share, 1e-12))), 1, BUCKETS - 1), 0).astype(np.int64)
 
@@ -172,14 +235,14 @@ class Head:
         both = np.flatnonzero((place >= 0) & (context >= 0))
         pair = find(self.pairs, bigram_keys(before[both], tokens[both]))
         hit = pair >= 0
-        f2[both[hit]] = self.pair_counts[pair[hit], which] / np.maximum(1, self.contexts[context[both[hit]], which])
+        f2[both[hit]] = self.pair_counts[pair[hit], which] / np.maximum(1, self.word_counts[context[both[hit]], which])
         return self.bucket(context, which), f2
 
 
 def learn_weights(cells: list[tuple[int, float, float, float]], floor: float, rounds: int = 40) -> np.ndarray:
     """EM over (bucket, f2, f1, count) cells; ``floor`` is the uniform part 1 / (V + 1). Rows of (a, b, c) by bucket."""
     weights = np.tile(np.array([0.3, 0.6, 0.1]), (BUCKETS, 1))
-    weights[0] = (0.0, 0.9, 0.1)  # no bigrams after rare contexts
+    weights[0] = (0.0, 0.9, 0.1)  # no bigrams after unseen contexts
     if not cells:
         return weights
     bucket = np.array([c[0] for c in cells], np.int64)
@@ -207,62 +270,116 @@ def _value(binned: int) -> float:
 
 
 def fit(df: DataFrame, share: float = 2.0**-20, modulus: int = 7, out: int = 2, deleted: int = 6):
-    """Counts of all words (a stored table), the broadcast tables and the weights."""
+    """The stored tables (counts of all words, of all pairs, the encoded rows of df), the broadcast tables and the weights."""
     spark = df.sparkSession
-    part = remainder(modulus)
-    train = df.filter(part != out).select((part == deleted).alias("part"), F.col("text").cast("string").alias("text"))
-    unigrams = stored(count_keys(train), "unigrams")
+    rest = remainder(modulus)
+    part = F.when(rest == out, OUT).when(rest == deleted, DELETED).otherwise(KEPT)
+    slim = df.select(F.col("doc_id").cast("long").alias("doc_id"), part.alias("part"), F.col("text").cast("string").alias("text"))
+    unigrams = stored(count_words(slim.filter(F.col("part") != OUT).select((F.col("part") == DELETED).alias("part"), "text")), "unigrams")
     sums = unigrams.agg(F.sum("kept"), F.sum(F.col("kept") + F.col("deleted")), F.count(F.when(F.col("kept") > 0, 1)), F.count(F.lit(1))).first()
     total, vocabulary = np.array([sums[0] or 0, sums[1] or 0]), np.array([sums[2], sums[3]])
     least = max(1.0, share * float(total[1]))
-    words, word_counts, _ = _collected(unigrams.filter(F.col("kept") + F.col("deleted") >= least).withColumn("tag", F.lit(0).cast("long")))
+    frequent = F.col("kept") + F.col("deleted") >= least
+    words, word_counts = _collected(unigrams.filter(frequent))
     heads = spark.sparkContext.broadcast(words)
-    keys, pair_counts, firsts = _collected(count_keys(train, True, heads).filter(F.col("kept") + F.col("deleted") >= least))
-    contexts = np.zeros((len(words), 2), np.int64)
-    np.add.at(contexts, find(words, firsts), pair_counts)
-    head = Head(words, word_counts, keys, pair_counts, contexts, total, vocabulary)
-    weights = _weights(train, unigrams, head)
+    rows = stored(encoded(slim, heads), "encoded")
     free_shuffles(spark)
-    return unigrams, head, weights
+    pairs = stored(count_pairs(rows, heads), "bigrams")
+    free_shuffles(spark)
+    head = Head(words, word_counts, *_collected(pairs.filter(frequent)), total, vocabulary)
+    weights = _weights(rows, unigrams, pairs, head)
+    free_shuffles(spark)
+    return (unigrams, pairs, rows), head, weights
 
 
-def _collected(counts: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """A table of at most 1 / share rows as sorted keys, (kept, all) counts, and tags."""
+def _collected(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """A table of at most 1 / share rows as sorted keys and (kept, all) counts."""
     t = counts.toArrow()
-    keys, tags = t.column("key").to_numpy(), t.column("tag").to_numpy()
+    keys = t.column("key").to_numpy()
     kept, deleted = t.column("kept").to_numpy(), t.column("deleted").to_numpy()
     order = np.argsort(keys)
-    return keys[order], np.stack([kept, kept + deleted], axis=1)[order], tags[order]
+    return keys[order], np.stack([kept, kept + deleted], axis=1)[order]
+
+
+RARE = "row long, key long, word long, word_count long, context long, context_count long"
 
 
-def _weights(train: DataFrame, unigrams: DataFrame, head: Head) -> np.ndarray:
-    """Cells of the deleted part: (bucket, f2, f1) in bins for head words; rare words with their counts joined."""
-    shared = train.sparkSession.sparkContext.broadcast(head)
+def _rare_tokens(rows: DataFrame, shared, which: int) -> DataFrame:
+    """Tokens that are no head words or follow one that isn't: the pair, and both words with their counts (-1: to be joined in)."""
+
+    def make():
+        h = shared.value
+
+        def work(batch):
+            flat, before, place, context, sizes = _decoded(batch, h.words)
+            at = np.flatnonzero((place < 0) | (context < 0))
+            row = np.repeat(batch.column(0).to_numpy(), sizes)[at]
+            flat, before, place, context = flat[at], before[at], place[at], context[at]
+            key = bigram_keys(before, flat)
+            count = lambda x: np.where(x >= 0, h.word_counts[x, which] if len(h.words) else 0, -1)
+            spread = lambda x, own: np.where(x >= 0, mixed(key).view(np.int64), own)  # noqa: E731 (known words would all meet in one task)
+            yield {"row": row, "key": key, "word": spread(place, flat), "word_count": count(place), "context": spread(context, before), "context_count": count(context)}
+
+        return work
+
+    return arrow_map(rows, make, RARE)
+
+
+def _with_counts(rare: DataFrame, unigrams: DataFrame, count: Column) -> DataFrame:
+    """The rare tokens with the missing counts joined in, 0 for words that weren't seen."""
+    counts = unigrams.select("key", count.alias("_count"))
+    for name in ("word", "context"):
+        own = counts.select(F.col("key").alias(name), "_count")
+        found = F.when(F.col(f"{name}_count") >= 0, F.col(f"{name}_count")).otherwise(F.coalesce("_count", F.lit(0)))
+        rare = rare.join(own, name, "left").withColumn(f"{name}_count", found).drop(name, "_count")
+    return rare
+
+
+def _bucket(count: Column, total: int) -> Column:
+    """Head.bucket() of a context's count."""
+    steps = [F.when(count >= float(max(1, total)) * 2.0 ** (b - BUCKETS), 1).otherwise(0) for b in range(2, BUCKETS)]
+    return F.when(count > 0, sum(steps, F.lit(1))).otherwise(0)
+
+
+def _bin(f: Column) -> Column:
+    """_binned() of a column."""
+    return F.when(f > 0, F.floor(-F.log2(F.greatest(f, F.lit(2.0**-62))) * 8)).otherwise(-1).cast("long")
+
+
+def _weights(rows: DataFrame, unigrams: DataFrame, pairs: DataFrame, head: Head) -> np.ndarray:
+    """Cells of the deleted part: (bucket, f2, f1) in bins, from the broadcast tables where they hold the pair, else with the counts joined."""
+    shared = rows.sparkSession.sparkContext.broadcast(head)
+    deleted = rows.filter(F.col("part") == DELETED)
+    n = int(head.total[0])
 
     def make():
         h = shared.value
-        tokens = Tokens(h.words)
         f1 = _binned(h.word_counts[:, 0] / max(1, h.total[0])) if len(h.words) else np.zeros(1, np.int64)
 
         def work(batch):
-            flat, before, place, context, _ = tokens.batch(batch.column(1).to_pylist())
-            bucket, f2 = h.features(flat, before, place, context, 0)
-            rare = place < 0
-            known = np.flatnonzero(~rare)
-            codes, n = np.unique((bucket[known] << 24) | ((_binned(f2[known]) + 1) << 12) | (f1[place[known]] + 1), return_counts=True)
-            yield {"bucket": codes >> 24, "f2": (codes >> 12 & 4095) - 1, "f1": (codes & 4095) - 1, "key": np.zeros(len(codes), np.int64), "n": n}
-            _, first, n = np.unique(mixed(flat[rare]).view(np.int64) + bucket[rare], return_index=True, return_counts=True)
-            yield {"bucket": bucket[rare][first], "f2": np.full(len(first), -1), "f1": np.full(len(first), -2), "key": flat[rare][first], "n": n}
+            flat, before, place, context, _ = _decoded(batch, h.words)
+            at = np.flatnonzero((place >= 0) & (context >= 0))
+            key, place, context = bigram_keys(before[at], flat[at]), place[at], context[at]
+            bucket, pair, count = h.bucket(context, 0), find(h.pairs, key), h.word_counts[context, 0] if len(h.words) else context
+            here = pair >= 0
+            f2 = h.pair_counts[pair[here], 0] / np.maximum(1, count[here])
+            codes, times = np.unique((bucket[here] << 24) | ((_binned(f2) + 1) << 12) | (f1[place[here]] + 1), return_counts=True)
+            none = np.zeros(len(codes), np.int64)
+            yield {"bucket": codes >> 24, "f2": (codes >> 12 & 4095) - 1, "f1": (codes & 4095) - 1, "key": none, "context_count": none, "n": times}
+            keys, first, times = np.unique(key[~here], return_index=True, return_counts=True)
+            yield {"bucket": bucket[~here][first], "f2": np.full(len(keys), -2), "f1": f1[place[~here][first]], "key": keys, "context_count": count[~here][first], "n": times}
 
         return work
 
-    cells = arrow_map(train.filter("part"), make, "bucket long, f2 long, f1 long, key long, n long", rows=2048)
-    cells = stored(cells, "cells")
-    rare = cells.filter("f1 = -2").groupBy("key", "bucket", "f2").agg(F.sum("n").alias("n")).join(unigrams.select("key", "kept"), "key", "left")
-    f1 = F.when(F.coalesce(F.col("kept"), F.lit(0)) > 0, F.floor(-F.log2(F.col("kept") / F.lit(float(max(1, head.total[0])))) * 8)).otherwise(F.lit(-1)).cast("long")
-    table = cells.filter("f1 <> -2").select("bucket", "f2", "f1", "n").unionByName(rare.select("bucket", "f2", f1.alias("f1"), "n")).groupBy("bucket", "f2", "f1").agg(F.sum("n").alias("n"))
-    rows = [(r["bucket"], _value(r["f2"]), _value(r["f1"]), r["n"]) for r in table.collect()]  # bounded by the bins
-    return learn_weights(rows, 1.0 / (float(head.vocabulary[0]) + 1))
+    cells = stored(arrow_map(deleted, make, "bucket long, f2 long, f1 long, key long, context_count long, n long", rows=2048), "cells")
+    rare = _with_counts(_rare_tokens(deleted, shared, 0), unigrams, F.col("kept"))
+    rare = rare.select(_bucket(F.col("context_count"), n).cast("long").alias("bucket"), _bin(F.col("word_count") / F.lit(float(max(1, n)))).alias("f1"), "key", "context_count", F.lit(1).cast("long").alias("n"))
+    left = cells.filter("f2 = -2").select("bucket", "f1", "key", "context_count", "n").unionByName(rare)
+    kept = F.coalesce("kept", F.lit(0))
+    joined = left.join(pairs.select("key", "kept"), "key", "left").select("bucket", _bin(kept / F.greatest(F.col("context_count"), F.lit(1))).alias("f2"), "f1", "n")
+    table = cells.filter("f2 <> -2").select("bucket", "f2", "f1", "n").unionByName(joined).groupBy("bucket", "f2", "f1").agg(F.sum("n").alias("n"))
+    found = [(r["bucket"], _value(r["f2"]), _value(r["f1"]), r["n"]) for r in table.collect()]  # bounded by the bins
+    return learn_weights(found, 1.0 / (float(head.vocabulary[0]) + 1))
 
 
 def score_documents(df: DataFrame, share: float = 2.0**-20, modulus: int = 7, out: int = 2) -> DataFrame:
@@ -271,52 +388,69 @@ def score_documents(df: DataFrame, share: float = 2.0**-20, modulus: int = 7, ou
     The model learns from the rows whose crc32 of doc_id as text isn't ``out`` modulo ``modulus``. Null
     text counts as empty: the end token alone. Null doc_ids and repeated rows are scored one by one. If
     there is nothing to learn from, all tokens are unknown. No rows, no result; other columns are ignored.
+
+    A token's probability is r (1 + q c): r is the part of the unigram and the uniform one, c the count of the
+    pair. log r is summed first, and log (1 + q c) for the pairs that the stored table holds.
     """
     spark = df.sparkSession
-    unigrams, head, weights = fit(df, share, modulus, out)
-    shared = spark.sparkContext.broadcast((head, weights))
+    (unigrams, pairs, rows), head, weights = fit(df, share, modulus, out)
+    shared, lambdas = spark.sparkContext.broadcast(head), spark.sparkContext.broadcast(weights)
     n, v = int(head.total[1]), int(head.vocabulary[1])
-    slim = df.select(F.col("doc_id").cast("long").alias("doc_id"), (remainder(modulus) == out).alias("held_out"), F.col("text").cast("string").alias("text"))
+    count = F.col("kept") + F.col("deleted")
 
-    def make():
-        from pyspark import TaskContext
+    def parts(h: Head, w: np.ndarray, place: np.ndarray, context: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """r and q of tokens of which both words are head words."""
+        lam = w[h.bucket(context, 1)]
+        r = lam[:, 1] * h.word_counts[place, 1] / max(1, n) + lam[:, 2] / (v + 1)
+        return r, lam[:, 0] / np.maximum(1, h.word_counts[context, 1]) / r
 
-        h, w = shared.value
-        tokens = Tokens(h.words)
-        state = {"row": TaskContext.get().partitionId() << 33}
+    def make():
+        h, w = shared.value, lambdas.value
 
         def work(batch):
-            flat, before, place, context, sizes = tokens.batch(batch.column(2).to_pylist())
-            bucket, f2 = h.features(flat, before, place, context, 1)
-            rare = place < 0
-            count = np.where(rare, 0, h.word_counts[place, 1] if len(h.words) else 0)
-            base = np.where(rare, 0.0, np.log10((count + 1) / (n + v + 1)))
-            lam = w[bucket]
-            model = np.where(rare, 0.0, np.log10(lam[:, 0] * f2 + lam[:, 1] * count / max(1, n) + lam[:, 2] / (v + 1)))
+            flat, before, place, context, sizes = _decoded(batch, h.words)
+            base, model = np.zeros(len(flat)), np.zeros(len(flat))
+            known = place >= 0
+            if len(h.words):
+                base[known] = np.log10((h.word_counts[place[known], 1] + 1) / (n + v + 1))
+                both = np.flatnonzero(known & (context >= 0))
+                r, q = parts(h, w, place[both], context[both])
+                pair = find(h.pairs, bigram_keys(before[both], flat[both]))
+                model[both] = np.log10(r * (1 + q * np.where(pair >= 0, h.pair_counts[pair, 1] if len(h.pairs) else 0, 0)))
             starts = np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(np.int64)
-            left = np.flatnonzero(rare)
-            bounds = np.searchsorted(left, np.append(starts, len(flat)))
-            cut = lambda x: [x[bounds[i] : bounds[i + 1]] for i in range(len(sizes))]
             yield {
-                "row": np.arange(state["row"], state["row"] + len(sizes)), "doc_id": batch.column(0), "held_out": batch.column(1), "n_tokens": sizes,
-                "known": np.add.reduceat(~rare, starts, dtype=np.int64), "base": np.add.reduceat(base, starts), "model": np.add.reduceat(model, starts),
-                "keys": list_array(cut(flat[left]), pa.int64()), "buckets": list_array(cut(bucket[left]), pa.int32()),
+                "row": batch.column(0), "doc_id": batch.column(1), "held_out": batch.column(2).to_numpy() == OUT, "n_tokens": sizes,
+                "known": np.add.reduceat(known, starts, dtype=np.int64), "base": np.add.reduceat(base, starts), "model": np.add.reduceat(model, starts),
             }
-            state["row"] += len(sizes)
 
         return work
 
-    docs = stored(arrow_map(slim, make, "row long, doc_id long, held_out boolean, n_tokens long, known long, base double, model double, keys array<long>, buckets array<int>"), "scored")
-    rare = docs.select("row", F.explode(F.arrays_zip("keys", "buckets")).alias("x")).select("row", F.col("x.keys").alias("key"), F.col("x.buckets").alias("bucket"))
-    counts = unigrams.select("key", (F.col("kept") + F.col("deleted")).alias("count"))
-    c = F.coalesce(F.col("count"), F.lit(0))
-    of = lambda i: F.element_at(F.lit([float(x) for x in weights[:, i]]), F.col("bucket") + 1)
-    p = of(1) * c / F.lit(float(max(1, n))) + of(2) / F.lit(float(v + 1))
-    parts = rare.join(counts, "key", "left").groupBy("row").agg(
-        F.sum(F.when(c > 0, 1).otherwise(0)).alias("_known"), F.sum(F.log10((c + 1) / F.lit(float(n + v + 1)))).alias("_base"), F.sum(F.log10(p)).alias("_model")
-    )
+    def make_left():
+        h, w = shared.value, lambdas.value
+
+        def work(batch):
+            flat, before, place, context, sizes = _decoded(batch, h.words)
+            both = np.flatnonzero((place >= 0) & (context >= 0))
+            key = bigram_keys(before[both], flat[both])
+            away = find(h.pairs, key) < 0
+            both, key = both[away], key[away]
+            q = parts(h, w, place[both], context[both])[1] if len(both) else np.zeros(0)
+            yield {"row": np.repeat(batch.column(0).to_numpy(), sizes)[both], "key": key, "q": q.astype(np.float32)}
+
+        return work
+
+    docs = arrow_map(rows, make, "row long, doc_id long, held_out boolean, n_tokens long, known long, base double, model double")
+    of = lambda i, b: F.element_at(F.lit([float(x) for x in weights[:, i]]), b + 1)
+    c, b = F.col("word_count"), F.col("b")
+    rare = _with_counts(_rare_tokens(rows, shared, 1).withColumn("own", F.col("word_count") < 0), unigrams, count).withColumn("b", _bucket(F.col("context_count"), n))
+    r = of(1, b) * c / F.lit(float(max(1, n))) + of(2, b) / F.lit(float(v + 1))
+    rare = stored(rare.select("row", "key", (F.col("own") & (c > 0)).cast("long").alias("known"), F.when(F.col("own"), F.log10((c + 1) / F.lit(float(n + v + 1)))).otherwise(0.0).alias("base"), F.log10(r).alias("model"), (of(0, b) / F.greatest(F.col("context_count"), F.lit(1)) / r).cast("float").alias("q")), "rare")
+    free_shuffles(spark)
+    left = arrow_map(rows, make_left, "row long, key long, q float").unionByName(rare.filter("q > 0").select("row", "key", "q"))
+    gains = left.join(pairs.select("key", count.alias("count")), "key").groupBy("row").agg(F.sum(F.log10(1 + F.col("q").cast("double") * F.col("count"))).alias("_gain"))
+    more = rare.groupBy("row").agg(F.sum("known").alias("_known"), F.sum("base").alias("_base"), F.sum("model").alias("_model"))
     zero = F.lit(0.0)
-    return docs.drop("keys", "buckets").join(parts, "row", "left").select(
+    return docs.join(gains, "row", "left").join(more, "row", "left").select(
         "doc_id", "held_out", "n_tokens", (F.col("known") + F.coalesce("_known", F.lit(0))).cast("long").alias("n_known"), F.lit(n).cast("long").alias("train_tokens"),
-        (F.col("base") + F.coalesce("_base", zero)).alias("base_score"), (F.col("model") + F.coalesce("_model", zero)).alias("score"),
+        (F.col("base") + F.coalesce("_base", zero)).alias("base_score"), (F.col("model") + F.coalesce("_model", zero) + F.coalesce("_gain", zero)).alias("score"),
     )

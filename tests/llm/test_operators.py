@@ -356,6 +356,41 @@ def test_model_is_a_distribution(spark):
         assert abs(p.sum() - 1) < 1e-9 or not f2.any()
 
 
+def test_share_moves_no_score(spark):
+    """Words and pairs below the share are counted and scored like others: broadcast or joined in, the model is the same."""
+    rng = random.Random(12)
+    vocabulary = [f"w{int(rng.paretovariate(0.6))}" for _ in range(400)]
+    df = spark.createDataFrame([(i, " ".join(rng.choices(vocabulary, k=40))) for i in range(150)], "doc_id long, text string")
+    whole, split, none = ({r["doc_id"]: r for r in ngrams.score_documents(df, share=share).collect()} for share in (2.0**-20, 0.004, 1.0))
+    for other in (split, none):
+        assert all(other[i][c] == whole[i][c] for i in whole for c in ("held_out", "n_tokens", "n_known", "train_tokens"))
+        assert all(abs(other[i][c] - whole[i][c]) < 1e-4 for i in whole for c in ("base_score", "score"))
+
+
+def test_scores_use_all_pairs(spark):
+    """Scores from plain counts of all pairs, at a share that leaves none of the pairs in the broadcast table."""
+    rng = random.Random(13)
+    rows = [(i, " ".join(rng.choices(WORDS, k=50))) for i in range(120)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    _, head, weights = ngrams.fit(df, share=0.01)
+    assert len(head.words) and not len(head.pairs)
+    rest = lambda d: zlib.crc32(str(d).encode()) % 7
+    steps = lambda t: list(zip([" ", *words(t)], [*words(t), " "]))
+    one, two = Counter(), Counter()
+    for i, t in rows:
+        if rest(i) != 2:
+            one.update(w for _, w in steps(t))
+            two.update(steps(t))
+    n, v = sum(one.values()), len(one)
+
+    def p(h, w):
+        b = min(23, max(1, 24 + math.floor(math.log2(one[h] / n)))) if one[h] else 0
+        return weights[b][0] * two[h, w] / max(1, one[h]) + weights[b][1] * one[w] / n + weights[b][2] / (v + 1)
+
+    out = {r["doc_id"]: r["score"] for r in ngrams.score_documents(df, share=0.01).collect()}
+    assert all(abs(out[i] - sum(math.log10(p(h, w)) for h, w in steps(t))) < 1e-4 for i, t in rows)
+
+
 def test_em_raises_likelihood():
     cells = [(5, 0.5, 0.1, 10), (5, 0.0, 0.2, 5), (9, 0.0, 0.01, 3)]
     weights = ngrams.learn_weights(cells, 0.001)
