@@ -16,7 +16,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import WordIndex, arrow_map, mixed
+from .shared import WordIndex, arrow_map, mixed, stored
 
 LETTERS = re.compile(r"[^\W\d_]+")
 DIGIT = re.compile(r"\d")
@@ -178,39 +178,80 @@ class Scorer:
         return out
 
 
-def calibrate(models: CharModels, texts: list[str], quantile: float = 0.999, least: int = 40) -> float:
+def calibrate(models: CharModels, best: list[float], quantile: float = 0.999) -> float:
     """Cross-entropy beyond which a text is rejected: midway between what all but 1 - quantile of the
-    texts kept for calibration reach and that of characters drawn at random."""
-    best = [float(h.min()) for h, n in Scorer(models).entropies(texts) if n >= least]
+    texts kept for calibration reach (``best``: of each in its own best language) and that of characters drawn at random."""
     if not best:
         return float("inf")
     usual, random = float(np.quantile(best, quantile)), float(-np.log(models.base[0]))
     return usual + 0.5 * max(0.0, random - usual)
 
 
-def fit(df: DataFrame, rows_a_language: int = 1200, rows: int = 20_000, order: int = 4, longest: int = 200_000) -> CharModels | None:
+def sampled(labelled: DataFrame, rows_a_language: int, rows: int) -> DataFrame:
+    """(lang, text, aside) of the rows of least draw of each language, as many of each: ``rows_a_language``, or fewer where
+    ``rows`` would not do for all languages, but one at least. Every tenth of a language is set aside. Equal rows count once."""
+    spark = labelled.sparkSession
+    drawn = labelled.withColumn("draw", F.shiftrightunsigned(F.xxhash64("doc_id", "text"), 11))
+    draws = stored(drawn.select("lang", "draw").distinct(), "draws")
+    known = draws.groupBy("lang").agg(F.count(F.lit(1)).alias("_n")).orderBy(F.desc("_n"), "lang").limit(rows)
+    quota = max(1, min(rows_a_language, rows // max(1, known.count())))
+    # twice the quota and some more, so that the quota is among them; only their draws go to the driver
+    near = draws.join(F.broadcast(known), "lang").filter(F.col("draw") < F.lit(float(1 << 53) * (2 * quota + 30)) / F.col("_n"))
+    found: dict[str, list[int]] = defaultdict(list)
+    for r in near.select("lang", "draw").toLocalIterator():
+        found[r["lang"]].append(r["draw"])
+    taken = [(lang, d, i % 10 == 9) for lang, own in sorted(found.items()) for i, d in enumerate(sorted(own)[:quota])]
+    chosen = spark.createDataFrame(taken, "lang string, draw long, aside boolean")
+    return stored(drawn.join(F.broadcast(chosen), ["lang", "draw"]).dropDuplicates(["lang", "draw"]).select("lang", "text", "aside"), "sample")
+
+
+def _runs(sample: DataFrame) -> dict[str, Counter]:
+    """By language, how often each run of letters occurs in the texts."""
+
+    def make():
+        def work(batch):
+            counts: dict[str, Counter] = defaultdict(Counter)
+            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                counts[lang].update(language_runs(text))
+            for lang, c in counts.items():
+                yield {"lang": [lang] * len(c), "run": list(c), "n": list(c.values())}
+
+        return work
+
+    counts: dict[str, Counter] = defaultdict(Counter)
+    for r in arrow_map(sample, make, "lang string, run string, n long").groupBy("lang", "run").agg(F.sum("n").alias("n")).orderBy("lang", "run").toLocalIterator():
+        counts[r["lang"]][r["run"]] = r["n"]
+    return dict(counts)
+
+
+def _best_entropies(sample: DataFrame, models: CharModels, least: int = 40) -> list[float]:
+    """Of the texts of at least ``least`` characters the cross-entropy in the best language."""
+    shared = sample.sparkSession.sparkContext.broadcast(models)
+
+    def make():
+        scorer = Scorer(shared.value)
+
+        def work(batch):
+            yield {"h": [float(h.min()) for h, n in scorer.entropies(batch.column(1).to_pylist()) if n >= least]}
+
+        return work
+
+    return [r["h"] for r in arrow_map(sample, make, "h double").collect()]
+
+
+def fit(df: DataFrame, rows_a_language: int = 1200, rows: int = 20_000, order: int = 4) -> CharModels | None:
     """Models from a bounded sample of the labelled rows of (doc_id, text, lang) that aren't held out.
 
-    The sample: about ``rows_a_language`` whole texts of each language, by a hash of the row, of at most
-    ``longest`` characters, and ``rows`` in all. A tenth of it sets the bound of rejection. None without labelled rows.
+    The sample: whole texts, by a hash of the row, ``rows_a_language`` of each language, and with many
+    languages as many of each as make ``rows`` in all. A tenth of it sets the bound of rejection. None without labelled rows.
     """
-    labelled = df.select(F.col("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang")).filter(F.col("text").isNotNull() & F.col("lang").isNotNull() & ~held_out() & (F.length("text") <= longest))
-    known = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("_n")).orderBy(F.desc("_n"), "lang").limit(rows)
-    draw = F.shiftrightunsigned(F.xxhash64("doc_id", "text"), 11) / F.lit(float(1 << 53))
-    sample = labelled.join(F.broadcast(known), "lang").filter(draw < F.lit(float(rows_a_language)) / F.col("_n")).select("lang", "text", draw.alias("draw")).orderBy("draw", "lang", "text").limit(rows)
-    counts: dict[str, Counter] = defaultdict(Counter)
-    aside, at = [], Counter()
-    for r in sample.toLocalIterator():
-        at[r["lang"]] += 1
-        if at[r["lang"]] % 10 == 0:
-            aside.append(r["text"])
-        else:
-            counts[r["lang"]].update(language_runs(r["text"]))
-    counts = {lang: c for lang, c in counts.items() if c}
+    labelled = df.select(F.col("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang")).filter(F.col("text").isNotNull() & F.col("lang").isNotNull() & ~held_out())
+    sample = sampled(labelled, rows_a_language, rows)
+    counts = _runs(sample.filter("not aside"))
     if not counts:
         return None
     models = train(counts, order)
-    models.bound = calibrate(models, aside)
+    models.bound = calibrate(models, _best_entropies(sample.filter("aside"), models))
     return models
 
 

@@ -452,6 +452,20 @@ def test_languages(spark, nothing):
     assert {r["lang_pred"] for r in langid.identify_languages(df.withColumn("lang", df["lang"].substr(9, 9)).filter("lang = 'x'")).collect()} <= {"und"}
 
 
+def test_rare_languages_and_long_texts_are_learned(spark):
+    """A language of few rows among many large ones, and one that has only a very long text."""
+    rng = random.Random(10)
+    letters = "bcdfghjklmnpqrstvwxz"
+    make = lambda k, n: " ".join("".join(rng.choice((letters[k], letters[(k + 7) % 20])) + rng.choice("aeiou"[k % 5 :]) for _ in range(3)) for _ in range(n))
+    rows = [(1000 * k + i, make(k, 10), f"l{k:02}") for k in range(18) for i in range(60)]
+    rows += [(50_000 + i, make(18, 10), "rare") for i in range(8)] + [(60_000 + i, make(19, 30_000), "long") for i in range(4)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    models = langid.fit(df, rows_a_language=50, rows=100)
+    assert {"rare", "long"} <= set(models.languages) and len(models.languages) == 20
+    out = {r["doc_id"]: r["lang_pred"] for r in langid.identify_languages(df, rows_a_language=50, rows=100).collect()}
+    assert all(out[i] == lang for i, _, lang in rows if lang in ("rare", "long"))
+
+
 def test_character_model_is_a_distribution():
     counts = {"aa": Counter({"abab": 3, "abba": 2, "b": 1}), "bb": Counter({"baa": 4})}
     m = langid.train(counts, order=3)
