@@ -18,12 +18,16 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]{12,}")
 HEX = re.compile(r"[0-9a-f]{32,}")
 #: Runs that the token-efficiency test looks at; shorter ones say too little.
 RUN = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
+#: Signs that join words, and a secret to what stands beside it.
+JOINTS = "+/_=-"
+LEAST = 20
 #: Strings that look random and are no secrets: digests of usual lengths, UUIDs, numbers, words joined by signs.
+#: All repeats are possessive, as no part can begin where the one before might go on: it takes time in proportion to the length.
 DIGEST_LENGTHS = (32, 40, 48, 56, 64, 96, 128)
 KNOWN = re.compile(
     r"(?:[0-9a-fA-F]{32}|[0-9a-fA-F]{40}|[0-9a-fA-F]{48}|[0-9a-fA-F]{56}|[0-9a-fA-F]{64}|[0-9a-fA-F]{96}|[0-9a-fA-F]{128}"
-    r"|[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}|[-0-9_/+=]+|[A-Za-z]?[a-z]*(?:[-_/=+][A-Za-z]?[a-z]*)*|[A-Z]+(?:[-_/=+][A-Z]*)*"
-    r"|(?:[A-Z]{0,3}[a-z]+)+)"
+    r"|[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}|[-0-9_/+=]+|[A-Za-z]?+[a-z]*+(?:[-_/=+][A-Za-z]?+[a-z]*+)*+|[A-Z]++(?:[-_/=+][A-Z]*+)*+"
+    r"|(?:[A-Z]{0,3}+[a-z]++)++)"
 )
 
 Span = tuple[int, int, int]  # kind's number, start, end
@@ -40,6 +44,16 @@ def base_spans(text: str) -> list[Span]:
     return found
 
 
+def uncovered(start: int, end: int, spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """What the spans leave of start to end."""
+    parts = []
+    for s, e in sorted(spans):
+        if s > start:
+            parts.append((start, s))
+        start = max(start, e)
+    return [*parts, (start, end)] if start < end else parts
+
+
 class TokenEfficiency:
     """Flags runs whose characters per token fall below ``ratio``: text that the vocabulary was learned
     from merges into long tokens, random strings do not."""
@@ -57,7 +71,23 @@ class TokenEfficiency:
         return not KNOWN.fullmatch(run) and len(run) < self.ratio * len(self.coder.encode_ordinary(run))
 
     def spans(self, text: str, base: list[Span]) -> list[Span]:
-        return [(3, m.start(), m.end()) for m in RUN.finditer(text) if not any(s < m.end() and m.start() < e for _, s, e in base) and self.random(m[0])]
+        """Random runs, and of runs that base spans touch the parts that these leave uncovered."""
+        found: list[Span] = []
+        for m in RUN.finditer(text):
+            touching = [(s, e) for _, s, e in base if s < m.end() and m.start() < e]
+            if not touching:
+                found += [(3, m.start(), m.end())] if self.random(m[0]) else []
+                continue
+            for start, end in uncovered(m.start(), m.end(), touching):
+                part = text[start:end]
+                # joints beside a base span belong to neither
+                part = part.lstrip(JOINTS) if start > m.start() else part
+                part = part.rstrip(JOINTS) if end < m.end() else part
+                part = part if len(part) >= LEAST else text[start:end]
+                if len(part) >= LEAST and self.random(part):
+                    at = text.index(part, start)
+                    found.append((3, at, at + len(part)))
+        return found
 
 
 def rendered(spans: list[Span]) -> str:

@@ -323,6 +323,32 @@ def test_redaction(docs, spark):
     assert same.columns == docs.columns and same.exceptAll(docs).count() == 0
 
 
+def test_secrets_beside_base_matches(spark):
+    key = "wJa1rXUt9nFEMIK7MDENGbPxRf2CYzEX4MPLEKEY"
+    texts = [f"AKIAABCDEFGHIJKL/{key} x", f"{HEX40[:32]}-{RANDOM} y", f"{RANDOM}_{HEX40[:32]}", f"{HEX40[:32]}-{UUID} z", "internationalization_of_token=hunter2hunter2"]
+    wanted = ["access:0:16,random:17:57", "hex:0:32,random:33:65", "random:0:32,hex:33:65", "hex:0:32", "assign:24:44"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    out = {r["doc_id"]: r["spans"] for r in secretscan.scan_secrets(df).collect()}
+    assert [out[i] for i in range(len(texts))] == wanted
+    shown = {r["doc_id"]: r["text"] for r in secretscan.redact_secrets(df).collect()}
+    assert not any(key in shown[i] or RANDOM in shown[i] for i in shown)
+
+
+def test_exclusions_take_linear_time():
+    """A backtracking pattern would need some 2 ** 26 steps for each."""
+    import time
+
+    began = time.process_time()
+    for text in ("a" * 26 + "1", "ab-" * 26 + "1", "gH" * 13 + "g" * 13 + "1", "A-" * 26 + "1", "a" * 5000 + "1"):
+        assert not secretscan.KNOWN.fullmatch(text)
+    assert time.process_time() - began < 0.5
+    rng = random.Random(14)
+    before = re.compile(secretscan.KNOWN.pattern.replace("?+", "?").replace("*+", "*").replace("}+", "}").replace("++", "+"))
+    for _ in range(20_000):
+        text = "".join(rng.choices("aabBC-_1f", k=rng.randint(1, 12)))
+        assert bool(secretscan.KNOWN.fullmatch(text)) == bool(before.fullmatch(text)), text
+
+
 # 6 language-model scores
 
 
