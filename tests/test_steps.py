@@ -157,6 +157,16 @@ def test_text_functions(spark):
     assert one(T.without_inner_newlines(F.lit("a\nb.\nc"))) == "a b.\nc"
 
 
+def test_readable_size_of_all_documents(spark, tmp_path):
+    from sparquern.queries.texts import readable_size
+
+    sizes = [(0, 10), (1, 1024), (2, 1024**2 - 1), (3, 1024**2), (4, 5 * 1024**2 // 2), (5, 3 * 1024**3)]
+    rows = [(i, "x", "en", "s", n) for i, n in sizes]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    found = dict(map(tuple, readable_size(spark, str(tmp_path)).collect()))
+    assert found == {0: "10.00 B", 1: "1.00 KB", 2: "1024.00 KB", 3: "1.00 MB", 4: "2.50 MB", 5: "3.00 GB"}
+
+
 def test_metrics_of_nothing(spark):
     empty = spark.createDataFrame([], "a int, b int")
     assert tuple(quality.accuracy(empty, "a", "b").first()) == (0, None)
