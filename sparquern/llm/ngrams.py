@@ -1,19 +1,24 @@
 """Language-model scoring by deleted interpolation.
 
-A bigram model of words: P(w | h) = a f2(w | h) + b f1(w) + c / (V + 1), with maximum-likelihood f2
-and f1 and weights (a, b, c) by the frequency bucket of the context h. The weights come from
-expectation-maximisation on held-out counts: f1 and f2 are estimated from all but one part of the
-training documents (the deleted part), and the part's own counts train the weights.
-
-Unigrams and bigrams are counted for all words and pairs of words, however many there are, in stored
-tables. Those whose share of all training tokens is at least ``share`` form tables of at most 1 / share
-entries at any size of the corpus, and only these are broadcast; the counts of all others are joined in
-by shuffle, so ``share`` says where a count is looked up and not what the model holds.
+A model of word n-grams, of order 3 unless told otherwise: P(w | h) is the sum of a f_k(w | h) for each order k
+and of a / (V + 1), with maximum-likelihood estimates f_k = count(h, w) / count(h) and weights by the frequency
+bucket of the longest context that was seen. The weights come from expectation-maximisation on held-out
+counts: the f_k are estimated from all but one part of the training documents (the deleted part), and the
+part's own n-grams train the weights.
+
+All n-grams of all training documents count, however rare. Their table is never whole in one place:
+
+* documents lie in blocks of about ``BLOCK`` tokens, stored once as word numbers with the block's own words;
+* each block sends its distinct n-grams, sorted and with their counts, to ranges of the key space, so a
+  frequent n-gram is one entry a block and no range is larger than others;
+* each range adds up its counts and answers each block in the order of its question, by counts alone;
+* a block and its answers make the scores of its documents.
+
+What travels is so the distinct n-grams of each block, as byte planes, and not a row a token.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -21,11 +26,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import WordHashes, arrow_map, free_shuffles, hash_words, list_array, mixed, stored, words_of
+from .shared import WordHashes, arrow_map, free_shuffles, hash_words, mixed, stored, words_of
 
 END = b" end "  # no word holds a blank
-BUCKETS = 24
+START = np.int64(0x51A27)  # stands for the missing context of a document's first token
 TINY = np.uint64(0x9E3779B97F4A7C15)
+BLOCK = 1 << 19  # tokens of a block; one text is never parted
+RANGE = 1 << 21  # tokens for each range of the key space
+WIDTH = 40  # buckets of a level: powers of two of the context's count
+KEPT, DELETED, OUT = 0, 1, 2
+MOST = 4  # the largest order
 
 
 def remainder(modulus: int = 7) -> Column:
@@ -33,424 +43,291 @@ def remainder(modulus: int = 7) -> Column:
     return F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), F.lit(modulus)).cast("int")
 
 
-def bigram_keys(before: np.ndarray, word: np.ndarray) -> np.ndarray:
+def planes(x: np.ndarray) -> bytes:
+    """Unsigned 64-bit numbers as their lowest bytes, then their second ones and so on, as many as the greatest needs."""
+    x = np.ascontiguousarray(x).astype("<u8", copy=False)
+    width = (int(x.max()).bit_length() + 7) // 8 if len(x) else 0
+    return bytes([width]) + np.ascontiguousarray(x.view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes()
+
+
+def from_planes(data: bytes, n: int) -> np.ndarray:
+    out = np.zeros((n, 8), np.uint8)
+    width = data[0]
+    out[:, :width] = np.frombuffer(data, np.uint8, offset=1).reshape(width, n).T
+    return out.view("<u8").ravel()
+
+
+def joined_keys(before: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """Keys of the n-grams that add a word to those before."""
     with np.errstate(over="ignore"):
         return mixed(mixed(before).view(np.int64) ^ (word.view(np.uint64) * TINY).view(np.int64)).view(np.int64)
 
 
-class Tokens(WordHashes):
-    """Tokens of texts (their words and an end each) with the token before each (the end for the first).
+def gram_keys(flat: np.ndarray, first: np.ndarray, order: int) -> list[np.ndarray]:
+    """For each order the key of the n-gram that ends at each token. ``flat``: word hashes of texts that end
+    with END each; ``first``: where texts begin. Before a text stands an END, and before that nothing."""
+    keys = [flat]
+    for k in range(2, order + 1):
+        before = np.roll(keys[-1], 1)
+        if k > 2:
+            before[first] = START
+        keys.append(joined_keys(before, flat))
+    return keys
 
-    Each distinct word is hashed, and looked up in the table of head words if there is one, once.
-    """
 
-    def __init__(self, head: np.ndarray | None = None, bound: int = 450_000) -> None:
-        super().__init__(bound)
-        self.head, self.places = head, np.zeros(0, np.int32)
-
-    def batch(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Hashes of all tokens and of those before them, the same as places in the head (-1: not there), and the number of tokens by text."""
-        if len(self.words) > self.bound:
-            self.forget()
-            self.known, self.places = self.known[:0], self.places[:0]
-        words: list[bytes] = []
-        sizes = np.zeros(len(texts), np.int64)
-        for i, t in enumerate(texts):
-            before = len(words)
-            words += words_of(t)
-            words.append(END)
-            sizes[i] = len(words) - before
-        numbers = self.numbers(words)
-        if fresh := self.words[len(self.known) :]:
-            hashes = hash_words(fresh)
-            self.known = np.concatenate([self.known, hashes])
-            if self.head is not None:
-                self.places = np.concatenate([self.places, find(self.head, hashes).astype(np.int32)])
-        flat = self.known[numbers]
-        place = self.places[numbers] if self.head is not None else np.full(len(numbers), -1, np.int32)
-        return flat, np.roll(flat, 1), place, np.roll(place, 1), sizes
-
-
-def find(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-    """Place of each wanted key in the sorted keys, or -1."""
-    if not len(keys):
-        return np.full(len(wanted), -1, np.int64)
-    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-    return np.where(keys[at] == wanted, at, -1)
-
-
-class Counter64:
-    """Counts by 64-bit key and part (kept, deleted); merged whenever much has gathered, so memory stays bounded."""
-
-    def __init__(self, flush: int) -> None:
-        self.flush = flush
-        self.reset()
-
-    def reset(self) -> None:
-        self.new: list[tuple[np.ndarray, np.ndarray]] = []
-        self.n = 0
-        self.keys, self.counts = np.zeros(0, np.int64), np.zeros((0, 2), np.int64)
-
-    def add(self, keys: np.ndarray, deleted: np.ndarray) -> None:
-        self.new.append((keys, deleted))
-        self.n += len(keys)
-        if self.n > self.flush:
-            self.merge()
-
-    def merge(self) -> None:
-        if not self.new:
-            return
-        keys, deleted = (np.concatenate(x) for x in zip(*self.new, strict=True))
-        old = len(self.keys)
-        merged, at = np.unique(np.concatenate([self.keys, keys]), return_inverse=True)
-        counts = np.stack([np.bincount(at[old:][~deleted], minlength=len(merged)), np.bincount(at[old:][deleted], minlength=len(merged))], axis=1)
-        counts[at[:old]] += self.counts
-        self.keys, self.counts, self.new, self.n = merged, counts, [], 0
-
-    def rows(self) -> Iterator[dict]:
-        """All counts in batches of ``SENT`` rows, so that neither side holds a second copy of the whole."""
-        self.merge()
-        keys, counts = self.keys, self.counts
-        self.reset()
-        for i in range(0, len(keys), SENT):
-            part = slice(i, i + SENT)
-            yield {"key": keys[part], "kept": counts[part, 0], "deleted": counts[part, 1]}
-
-
-COUNTS = "key long, kept long, deleted long"
-HELD = 1_500_000  # distinct keys that a task holds before it hands them on
-SENT = 1 << 17
-
-
-def _counted(df: DataFrame, keys_of) -> DataFrame:
-    """Counts by key over all rows; ``keys_of()`` makes a function from a batch to the keys and whether each is of the deleted part."""
+BLOCKS = "block long, part int, doc_ids array<long>, sizes array<long>, n_tokens long, n_words long, words binary, tokens binary"
+
+
+def blocks_of(df: DataFrame, tokens_a_block: int = BLOCK) -> DataFrame:
+    """The rows of (doc_id, part, text) in blocks, each of one part."""
 
     def make():
-        keys, counter = keys_of(), Counter64(1_000_000)
+        from pyspark import TaskContext
+
+        known = WordHashes(450_000)
+        end = hash_words([END])
+        task = TaskContext.get().partitionId() << 33
+        state = {"block": 0}
+        held: dict[int, list[tuple[int | None, np.ndarray]]] = {KEPT: [], DELETED: [], OUT: []}
+        size = dict.fromkeys(held, 0)
+
+        def closed(part: int) -> dict[str, list]:
+            words, tokens = np.unique(np.concatenate([x for _, x in held[part]]).view(np.uint64), return_inverse=True)
+            out = {
+                "block": [task + state["block"]], "part": [part], "doc_ids": [[d for d, _ in held[part]]], "sizes": [[len(x) for _, x in held[part]]],
+                "n_tokens": [len(tokens)], "n_words": [len(words)], "words": [planes(words)], "tokens": [planes(tokens)],
+            }
+            state["block"] += 1
+            held[part], size[part] = [], 0
+            return out
 
         def work(batch):
-            counter.add(*keys(batch))
-            if len(counter.keys) > HELD:
-                yield from counter.rows()
+            for doc, part, text in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                held[part].append((doc, np.concatenate([known.hashes(words_of(text)), end])))
+                size[part] += len(held[part][-1][1])
+                if size[part] >= tokens_a_block:
+                    yield closed(part)
 
-        work.finish = counter.rows
+        work.finish = lambda: [closed(part) for part in held if held[part]]
         return work
 
-    return arrow_map(df, make, COUNTS).groupBy("key").agg(F.sum("kept").alias("kept"), F.sum("deleted").alias("deleted"))
+    return arrow_map(df, make, BLOCKS)
 
 
-def count_words(train: DataFrame) -> DataFrame:
-    """Counts of the words over all rows of (part, text)."""
+@dataclass
+class Block:
+    """A block's texts as word numbers and as the hashes of their words, and where texts begin."""
 
-    def keys_of():
-        tokens = Tokens()
+    words: np.ndarray
+    tokens: np.ndarray
+    sizes: np.ndarray
 
-        def keys(batch):
-            flat, _, _, _, sizes = tokens.batch(batch.column(1).to_pylist())
-            return flat, np.repeat(batch.column(0).to_numpy(zero_copy_only=False).astype(bool), sizes)
+    @classmethod
+    def of(cls, row: dict) -> Block:
+        return cls(from_planes(row["words"], row["n_words"]).view(np.int64), from_planes(row["tokens"], row["n_tokens"]).view(np.int64), np.array(row["sizes"], np.int64))
 
-        return keys
+    @property
+    def first(self) -> np.ndarray:
+        return np.cumsum(self.sizes) - self.sizes
 
-    return _counted(train, keys_of)
+    def keys(self, order: int) -> list[np.ndarray]:
+        return gram_keys(self.words[self.tokens], self.first, order)
 
 
-ENCODED = "row long, doc_id long, part int, places array<int>, rare array<long>"
-KEPT, DELETED, OUT = 0, 1, 2
+ASKED = "kind int, range long, block long, part int, n long, keys binary, times binary"
+ANSWERS = "block long, kind int, range long, n long, kept binary, total binary, n_kept long, n_total long, sum_kept long, sum_total long"
 
 
-def encoded(df: DataFrame, heads) -> DataFrame:
-    """Each row of (doc_id, part, text) as its tokens' places in the head words (-1: not there), and the hashes of those that aren't there."""
+def asked(blocks: DataFrame, order: int, ranges: int) -> DataFrame:
+    """The distinct n-grams of each block with their counts, by order and range of the key space."""
 
     def make():
-        from pyspark import TaskContext
-
-        tokens, state = Tokens(heads.value), {"row": TaskContext.get().partitionId() << 33}
-
         def work(batch):
-            flat, _, place, _, sizes = tokens.batch(batch.column(2).to_pylist())
-            bounds = np.concatenate([[0], np.cumsum(sizes)])
-            left = np.flatnonzero(place < 0)
-            among = np.searchsorted(left, bounds)
-            yield {
-                "row": np.arange(state["row"], state["row"] + len(sizes)), "doc_id": batch.column(0), "part": batch.column(1),
-                "places": list_array([place[a:b] for a, b in zip(bounds, bounds[1:])], pa.int32()), "rare": list_array([flat[left[a:b]] for a, b in zip(among, among[1:])], pa.int64()),
-            }
-            state["row"] += len(sizes)
+            for row in batch.to_pylist():
+                block = Block.of(row)
+                for k, own in enumerate(block.keys(order)):
+                    keys, times = np.unique(own.view(np.uint64), return_counts=True)
+                    at = ((keys >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)).astype(np.int64)
+                    found, starts = np.unique(at, return_index=True)
+                    ends = [*starts[1:], len(keys)]
+                    yield {
+                        "kind": [k + 1] * len(found), "range": found, "block": [row["block"]] * len(found), "part": [row["part"]] * len(found), "n": np.diff([*starts, len(keys)]),
+                        "keys": [planes(keys[a:b]) for a, b in zip(starts, ends, strict=True)], "times": [planes(times[a:b]) for a, b in zip(starts, ends, strict=True)],
+                    }
 
         return work
 
-    return arrow_map(df, make, ENCODED)
-
-
-def _decoded(batch: pa.RecordBatch, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """What Tokens.batch() gives, from encoded rows."""
-    lists = batch.column(3)
-    sizes = np.diff(lists.offsets.to_numpy()).astype(np.int64)
-    place = lists.flatten().to_numpy()
-    rare = place < 0
-    flat = np.empty(len(place), np.int64)
-    flat[~rare] = words[place[~rare]]
-    flat[rare] = batch.column(4).flatten().to_numpy()
-    return flat, np.roll(flat, 1), place, np.roll(place, 1), sizes
-
+    return arrow_map(blocks.select("block", "part", "sizes", "n_tokens", "n_words", "words", "tokens"), make, ASKED, rows=1)
 
-def count_pairs(rows: DataFrame, heads) -> DataFrame:
-    """Counts of all pairs of a token and the one before it, over encoded rows."""
 
-    def keys_of():
-        words = heads.value
+def answers(questions: DataFrame) -> DataFrame:
+    """The counts of the n-grams of each range, for each block in its own order: ``kept`` over the kept part (for
+    blocks of the deleted part), ``total`` over all training documents. Sums and numbers of n-grams come once a range."""
 
-        def keys(batch):
-            flat, before, _, _, sizes = _decoded(batch, words)
-            return bigram_keys(before, flat), np.repeat(batch.column(2).to_numpy() == DELETED, sizes)
+    def counted(key, table):
+        columns = {c: table.column(c).to_pylist() for c in table.column_names}
+        sizes = columns["n"]
+        keys = np.concatenate([from_planes(d, n) for d, n in zip(columns["keys"], sizes, strict=True)])
+        times = np.concatenate([from_planes(d, n) for d, n in zip(columns["times"], sizes, strict=True)]).astype(np.float64)
+        part = np.repeat(np.array(columns["part"]), sizes)
+        found, at = np.unique(keys, return_inverse=True)
+        kept, total = (np.bincount(at, times * which, len(found)).astype(np.int64) for which in (part == KEPT, part != OUT))
+        ends = np.cumsum(sizes)
+        slices = [at[e - n : e] for e, n in zip(ends, sizes, strict=True)]
+        once = lambda x: [int(x)] + [0] * (len(sizes) - 1)
+        out = {
+            "block": columns["block"], "kind": columns["kind"], "range": columns["range"], "n": sizes,
+            "kept": [planes(kept[s]) if p == DELETED else None for s, p in zip(slices, columns["part"], strict=True)], "total": [planes(total[s]) for s in slices],
+            "n_kept": once((kept > 0).sum()), "n_total": once((total > 0).sum()), "sum_kept": once(kept.sum()), "sum_total": once(total.sum()),
+        }
+        return pa.table({f.name: pa.array(out[f.name], f.type) for f in ANSWER_TYPES}, schema=ANSWER_TYPES)
 
-        return keys
-
-    return _counted(rows.filter(F.col("part") != OUT), keys_of)
-
-
-@dataclass
-class Head:
-    """The tables that are broadcast, each of at most 1 / share entries. Counts: kept part, all."""
+    return questions.groupBy("kind", "range").applyInArrow(counted, ANSWERS)
 
-    words: np.ndarray
-    word_counts: np.ndarray  # (n, 2)
-    pairs: np.ndarray
-    pair_counts: np.ndarray
-    total: np.ndarray  # tokens: kept part, all
-    vocabulary: np.ndarray  # distinct tokens: kept part, all
-
-    def bucket(self, context: np.ndarray, which: int) -> np.ndarray:
-        """Bucket by the frequency of the context's place in words (-1: not there, bucket 0): powers of two of its share.
-
-        Each token but the ends is followed by one token, and each end stands before the first of one text, so a
-        context occurs as often as the word."""
-        count = np.where(context >= 0, self.word_counts[context, which] if len(self.words) else 0, 0)
-        share = count / max(1, self.total[which])
-        return np.where(count > 0, np.clip(BUCKETS + np.floor(np.log2(np.maximum(share, 1e-12))), 1, BUCKETS - 1), 0).astype(np.int64)
-
-    def features(self, tokens: np.ndarray, before: np.ndarray, place: np.ndarray, context: np.ndarray, which: int) -> tuple[np.ndarray, np.ndarray]:
-        """The bucket of each token's context, and f2."""
-        f2 = np.zeros(len(tokens))
-        both = np.flatnonzero((place >= 0) & (context >= 0))
-        pair = find(self.pairs, bigram_keys(before[both], tokens[both]))
-        hit = pair >= 0
-        f2[both[hit]] = self.pair_counts[pair[hit], which] / np.maximum(1, self.word_counts[context[both[hit]], which])
-        return self.bucket(context, which), f2
-
-
-def learn_weights(cells: list[tuple[int, float, float, float]], floor: float, rounds: int = 40) -> np.ndarray:
-    """EM over (bucket, f2, f1, count) cells; ``floor`` is the uniform part 1 / (V + 1). Rows of (a, b, c) by bucket."""
-    weights = np.tile(np.array([0.3, 0.6, 0.1]), (BUCKETS, 1))
-    weights[0] = (0.0, 0.9, 0.1)  # no bigrams after unseen contexts
-    if not cells:
-        return weights
-    bucket = np.array([c[0] for c in cells], np.int64)
-    f = np.array([[c[1], c[2], floor] for c in cells])
-    n = np.array([c[3] for c in cells], np.float64)
-    for _ in range(rounds):
-        mix = weights[bucket] * f
-        given = mix / mix.sum(axis=1, keepdims=True) * n[:, None]
-        # one count of the starting weights keeps buckets without held-out tokens, and every weight above zero
-        sums = np.tile(np.array([0.3, 0.6, 0.1]), (BUCKETS, 1))
-        sums[0] = (0.0, 0.9, 0.1)
-        for i in range(3):
-            sums[:, i] += np.bincount(bucket, given[:, i], BUCKETS)
-        weights = sums / sums.sum(axis=1, keepdims=True)
-    return weights
 
+def _arrow_schema(ddl: str) -> pa.Schema:
+    return pa.schema([(name, {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary(), "double": pa.float64(), "boolean": pa.bool_()}[kind]) for name, kind in (f.split() for f in ddl.split(", "))])
 
-def _binned(f: np.ndarray) -> np.ndarray:
-    """Eighths of powers of two, so that EM works on a bounded table: -1 for 0."""
-    return np.where(f > 0, np.floor(-np.log2(np.maximum(f, 2.0**-62)) * 8), -1).astype(np.int64)
 
+ANSWER_TYPES = _arrow_schema(ANSWERS)
 
-def _value(binned: int) -> float:
-    return 0.0 if binned < 0 else 2.0 ** (-(binned + 0.5) / 8)
 
+def counts_of(block: Block, rows: list[dict], which: str, order: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each order and token of a block the count of the n-gram that ends there, and that of its context."""
+    counts = []
+    for k, keys in enumerate(block.keys(order)):
+        own = sorted((r["range"], r["n"], r[which]) for r in rows if r["kind"] == k + 1)
+        table = np.concatenate([from_planes(data, n) for _, n, data in own]).astype(np.int64)
+        counts.append(table[block.tokens] if not k else table[np.unique(keys.view(np.uint64), return_inverse=True)[1]])
+    contexts = [np.zeros(len(block.tokens), np.int64)]
+    for k in range(1, order):
+        contexts.append(np.roll(counts[k - 1], 1))
+        if k > 1:  # before a text's first token there is but the END, which stands there once a text
+            contexts[k][block.first] = contexts[1][block.first]
+    return np.array(counts), np.array(contexts)
 
-def fit(df: DataFrame, share: float = 2.0**-20, modulus: int = 7, out: int = 2, deleted: int = 6):
-    """The stored tables (counts of all words, of all pairs, the encoded rows of df), the broadcast tables and the weights."""
-    spark = df.sparkSession
-    rest = remainder(modulus)
-    part = F.when(rest == out, OUT).when(rest == deleted, DELETED).otherwise(KEPT)
-    slim = df.select(F.col("doc_id").cast("long").alias("doc_id"), part.alias("part"), F.col("text").cast("string").alias("text"))
-    unigrams = stored(count_words(slim.filter(F.col("part") != OUT).select((F.col("part") == DELETED).alias("part"), "text")), "unigrams")
-    sums = unigrams.agg(F.sum("kept"), F.sum(F.col("kept") + F.col("deleted")), F.count(F.when(F.col("kept") > 0, 1)), F.count(F.lit(1))).first()
-    total, vocabulary = np.array([sums[0] or 0, sums[1] or 0]), np.array([sums[2], sums[3]])
-    least = max(1.0, share * float(total[1]))
-    frequent = F.col("kept") + F.col("deleted") >= least
-    words, word_counts = _collected(unigrams.filter(frequent))
-    heads = spark.sparkContext.broadcast(words)
-    rows = stored(encoded(slim, heads), "encoded")
-    free_shuffles(spark)
-    pairs = stored(count_pairs(rows, heads), "bigrams")
-    free_shuffles(spark)
-    head = Head(words, word_counts, *_collected(pairs.filter(frequent)), total, vocabulary)
-    weights = _weights(rows, unigrams, pairs, head)
-    free_shuffles(spark)
-    return (unigrams, pairs, rows), head, weights
 
+def buckets(contexts: np.ndarray) -> np.ndarray:
+    """Level and frequency of the longest context that was seen, as one number; 0 if none was."""
+    out = np.zeros(contexts.shape[1], np.int64)
+    for k in range(1, len(contexts)):
+        seen = contexts[k] > 0
+        out[seen] = k * WIDTH + np.minimum(np.frexp(contexts[k][seen].astype(np.float64))[1] - 1, WIDTH - 1)
+    return out
 
-def _collected(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """A table of at most 1 / share rows as sorted keys and (kept, all) counts."""
-    t = counts.toArrow()
-    keys = t.column("key").to_numpy()
-    kept, deleted = t.column("kept").to_numpy(), t.column("deleted").to_numpy()
-    order = np.argsort(keys)
-    return keys[order], np.stack([kept, kept + deleted], axis=1)[order]
 
+def likelihoods(counts: np.ndarray, contexts: np.ndarray, total: int) -> np.ndarray:
+    """Maximum-likelihood estimates by order and token: of the words, then of those after each context."""
+    return counts / np.maximum(1, np.concatenate([np.full((1, counts.shape[1]), total), contexts[1:]]))
 
-RARE = "row long, key long, word long, word_count long, context long, context_count long"
 
+def starting_weights(order: int) -> np.ndarray:
+    """A row a bucket: the weight of the uniform part, then of each order. Orders without a seen context weigh nothing."""
+    out = np.zeros((order * WIDTH, order + 1))
+    for k in range(order):
+        out[k * WIDTH : (k + 1) * WIDTH, 0] = 0.1
+        out[k * WIDTH : (k + 1) * WIDTH, 1 : k + 2] = 0.9 / (k + 1)
+    return out
 
-def _rare_tokens(rows: DataFrame, shared, which: int) -> DataFrame:
-    """Tokens that are no head words or follow one that isn't: the pair, and both words with their counts (-1: to be joined in)."""
 
-    def make():
-        h = shared.value
+def learn_weights(bucket: np.ndarray, f: np.ndarray, n: np.ndarray, floor: float, order: int, rounds: int = 40) -> np.ndarray:
+    """EM over cells: their bucket, estimates (a row an order) and number of tokens; ``floor`` is the uniform part 1 / (V + 1)."""
+    start = weights = starting_weights(order)
+    if not len(n):
+        return weights
+    parts = np.concatenate([np.full((1, len(n)), floor), f]).T
+    for _ in range(rounds):
+        mix = weights[bucket] * parts
+        given = mix / mix.sum(axis=1, keepdims=True) * n[:, None]
+        # one count of the starting weights keeps buckets without held-out tokens, and every weight in use above zero
+        sums = start + np.stack([np.bincount(bucket, given[:, i], len(start)) for i in range(order + 1)], axis=1)
+        weights = sums / sums.sum(axis=1, keepdims=True)
+    return weights
 
-        def work(batch):
-            flat, before, place, context, sizes = _decoded(batch, h.words)
-            at = np.flatnonzero((place < 0) | (context < 0))
-            row = np.repeat(batch.column(0).to_numpy(), sizes)[at]
-            flat, before, place, context = flat[at], before[at], place[at], context[at]
-            key = bigram_keys(before, flat)
-            count = lambda x: np.where(x >= 0, h.word_counts[x, which] if len(h.words) else 0, -1)
-            spread = lambda x, own: np.where(x >= 0, mixed(key).view(np.int64), own)  # noqa: E731 (known words would all meet in one task)
-            yield {"row": row, "key": key, "word": spread(place, flat), "word_count": count(place), "context": spread(context, before), "context_count": count(context)}
 
-        return work
+def binned(f: np.ndarray) -> np.ndarray:
+    """Quarters of powers of two, from 1 on, so that EM works on a bounded table: 0 for 0."""
+    return np.where(f > 0, np.floor(-np.log2(np.maximum(f, 2.0**-62)) * 4) + 1, 0).astype(np.int64)
 
-    return arrow_map(rows, make, RARE)
 
+def bin_value(b: np.ndarray) -> np.ndarray:
+    return np.where(b > 0, 2.0 ** (-(b - 0.5) / 4), 0.0)
 
-def _with_counts(rare: DataFrame, unigrams: DataFrame, count: Column) -> DataFrame:
-    """The rare tokens with the missing counts joined in, 0 for words that weren't seen."""
-    counts = unigrams.select("key", count.alias("_count"))
-    for name in ("word", "context"):
-        own = counts.select(F.col("key").alias(name), "_count")
-        found = F.when(F.col(f"{name}_count") >= 0, F.col(f"{name}_count")).otherwise(F.coalesce("_count", F.lit(0)))
-        rare = rare.join(own, name, "left").withColumn(f"{name}_count", found).drop(name, "_count")
-    return rare
 
+def _cells(blocks: DataFrame, found: DataFrame, order: int, total: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The deleted part's tokens by bucket and bins of the estimates from the kept part: bucket, estimates, number. Bounded by the bins."""
 
-def _bucket(count: Column, total: int) -> Column:
-    """Head.bucket() of a context's count."""
-    steps = [F.when(count >= float(max(1, total)) * 2.0 ** (b - BUCKETS), 1).otherwise(0) for b in range(2, BUCKETS)]
-    return F.when(count > 0, sum(steps, F.lit(1))).otherwise(0)
+    def cells(key, left, right):
+        (row,) = left.to_pylist()
+        counts, contexts = counts_of(Block.of(row), right.to_pylist(), "kept", order)
+        code = buckets(contexts)
+        for b in binned(likelihoods(counts, contexts, total)):
+            code = code << 12 | b
+        codes, n = np.unique(code, return_counts=True)
+        return pa.table({"code": codes, "n": n.astype(np.int64)})
 
+    asked_of = found.filter("kept is not null").select("block", "kind", "range", "n", "kept")
+    table = blocks.filter(F.col("part") == DELETED).groupBy("block").cogroup(asked_of.groupBy("block")).applyInArrow(cells, "code long, n long").groupBy("code").agg(F.sum("n").alias("n")).toArrow()
+    # in a fixed order, for the same sums at every run
+    code, n = table.column("code").to_numpy(), table.column("n").to_numpy()
+    by_code = np.argsort(code)
+    code, n = code[by_code], n[by_code]
+    f = np.array([bin_value(code >> 12 * (order - 1 - k) & 4095) for k in range(order)]).reshape(order, -1)
+    return code >> 12 * order, f, n
 
-def _bin(f: Column) -> Column:
-    """_binned() of a column."""
-    return F.when(f > 0, F.floor(-F.log2(F.greatest(f, F.lit(2.0**-62))) * 8)).otherwise(-1).cast("long")
 
+@dataclass
+class Model:
+    """Tokens and distinct tokens of the training documents, and the weights by bucket."""
 
-def _weights(rows: DataFrame, unigrams: DataFrame, pairs: DataFrame, head: Head) -> np.ndarray:
-    """Cells of the deleted part: (bucket, f2, f1) in bins, from the broadcast tables where they hold the pair, else with the counts joined."""
-    shared = rows.sparkSession.sparkContext.broadcast(head)
-    deleted = rows.filter(F.col("part") == DELETED)
-    n = int(head.total[0])
+    total: int
+    vocabulary: int
+    weights: np.ndarray
 
-    def make():
-        h = shared.value
-        f1 = _binned(h.word_counts[:, 0] / max(1, h.total[0])) if len(h.words) else np.zeros(1, np.int64)
 
-        def work(batch):
-            flat, before, place, context, _ = _decoded(batch, h.words)
-            at = np.flatnonzero((place >= 0) & (context >= 0))
-            key, place, context = bigram_keys(before[at], flat[at]), place[at], context[at]
-            bucket, pair, count = h.bucket(context, 0), find(h.pairs, key), h.word_counts[context, 0] if len(h.words) else context
-            here = pair >= 0
-            f2 = h.pair_counts[pair[here], 0] / np.maximum(1, count[here])
-            codes, times = np.unique((bucket[here] << 24) | ((_binned(f2) + 1) << 12) | (f1[place[here]] + 1), return_counts=True)
-            none = np.zeros(len(codes), np.int64)
-            yield {"bucket": codes >> 24, "f2": (codes >> 12 & 4095) - 1, "f1": (codes & 4095) - 1, "key": none, "context_count": none, "n": times}
-            keys, first, times = np.unique(key[~here], return_index=True, return_counts=True)
-            yield {"bucket": bucket[~here][first], "f2": np.full(len(keys), -2), "f1": f1[place[~here][first]], "key": keys, "context_count": count[~here][first], "n": times}
+def fit(df: DataFrame, order: int = 3, modulus: int = 7, out: int = 2, deleted: int = 6, tokens_a_block: int = BLOCK):
+    """The stored blocks of all rows of (doc_id, text), the stored counts of their n-grams over the training documents, and the model."""
+    if not 1 <= order <= MOST:
+        raise ValueError(f"the order is one of 1 to {MOST}")
+    spark = df.sparkSession
+    rest = remainder(modulus)
+    part = F.when(rest == out, OUT).when(rest == deleted, DELETED).otherwise(KEPT)
+    blocks = stored(blocks_of(df.select(F.col("doc_id").cast("long").alias("doc_id"), part.alias("part"), F.col("text").cast("string").alias("text")), tokens_a_block), "blocks")
+    tokens = blocks.agg(F.sum("n_tokens")).first()[0] or 0
+    ranges = max(2 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-tokens // RANGE))
+    found = stored(answers(asked(blocks, order, ranges)), "gram-counts")
+    free_shuffles(spark)
+    sums = found.filter("kind = 1").agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("sum_kept", "n_kept", "sum_total", "n_total")]).first()
+    bucket, f, n = _cells(blocks, found, order, sums[0])
+    free_shuffles(spark)
+    return blocks, found, Model(sums[2], sums[3], learn_weights(bucket, f, n, 1.0 / (sums[1] + 1), order))
 
-        return work
 
-    cells = stored(arrow_map(deleted, make, "bucket long, f2 long, f1 long, key long, context_count long, n long", rows=2048), "cells")
-    rare = _with_counts(_rare_tokens(deleted, shared, 0), unigrams, F.col("kept"))
-    rare = rare.select(_bucket(F.col("context_count"), n).cast("long").alias("bucket"), _bin(F.col("word_count") / F.lit(float(max(1, n)))).alias("f1"), "key", "context_count", F.lit(1).cast("long").alias("n"))
-    left = cells.filter("f2 = -2").select("bucket", "f1", "key", "context_count", "n").unionByName(rare)
-    kept = F.coalesce("kept", F.lit(0))
-    joined = left.join(pairs.select("key", "kept"), "key", "left").select("bucket", _bin(kept / F.greatest(F.col("context_count"), F.lit(1))).alias("f2"), "f1", "n")
-    table = cells.filter("f2 <> -2").select("bucket", "f2", "f1", "n").unionByName(joined).groupBy("bucket", "f2", "f1").agg(F.sum("n").alias("n"))
-    found = [(r["bucket"], _value(r["f2"]), _value(r["f1"]), r["n"]) for r in table.collect()]  # bounded by the bins
-    return learn_weights(found, 1.0 / (float(head.vocabulary[0]) + 1))
+SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
-def score_documents(df: DataFrame, share: float = 2.0**-20, modulus: int = 7, out: int = 2) -> DataFrame:
+def score_documents(df: DataFrame, order: int = 3, modulus: int = 7, out: int = 2, tokens_a_block: int = BLOCK) -> DataFrame:
     """Scores of each row of (doc_id, text): held_out, n_tokens, n_known, train_tokens, base_score, score.
 
     The model learns from the rows whose crc32 of doc_id as text isn't ``out`` modulo ``modulus``. Null
     text counts as empty: the end token alone. Null doc_ids and repeated rows are scored one by one. If
     there is nothing to learn from, all tokens are unknown. No rows, no result; other columns are ignored.
-
-    A token's probability is r (1 + q c): r is the part of the unigram and the uniform one, c the count of the
-    pair. log r is summed first, and log (1 + q c) for the pairs that the stored table holds.
     """
-    spark = df.sparkSession
-    (unigrams, pairs, rows), head, weights = fit(df, share, modulus, out)
-    shared, lambdas = spark.sparkContext.broadcast(head), spark.sparkContext.broadcast(weights)
-    n, v = int(head.total[1]), int(head.vocabulary[1])
-    count = F.col("kept") + F.col("deleted")
-
-    def parts(h: Head, w: np.ndarray, place: np.ndarray, context: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """r and q of tokens of which both words are head words."""
-        lam = w[h.bucket(context, 1)]
-        r = lam[:, 1] * h.word_counts[place, 1] / max(1, n) + lam[:, 2] / (v + 1)
-        return r, lam[:, 0] / np.maximum(1, h.word_counts[context, 1]) / r
-
-    def make():
-        h, w = shared.value, lambdas.value
-
-        def work(batch):
-            flat, before, place, context, sizes = _decoded(batch, h.words)
-            base, model = np.zeros(len(flat)), np.zeros(len(flat))
-            known = place >= 0
-            if len(h.words):
-                base[known] = np.log10((h.word_counts[place[known], 1] + 1) / (n + v + 1))
-                both = np.flatnonzero(known & (context >= 0))
-                r, q = parts(h, w, place[both], context[both])
-                pair = find(h.pairs, bigram_keys(before[both], flat[both]))
-                model[both] = np.log10(r * (1 + q * np.where(pair >= 0, h.pair_counts[pair, 1] if len(h.pairs) else 0, 0)))
-            starts = np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(np.int64)
-            yield {
-                "row": batch.column(0), "doc_id": batch.column(1), "held_out": batch.column(2).to_numpy() == OUT, "n_tokens": sizes,
-                "known": np.add.reduceat(known, starts, dtype=np.int64), "base": np.add.reduceat(base, starts), "model": np.add.reduceat(model, starts),
-            }
-
-        return work
-
-    def make_left():
-        h, w = shared.value, lambdas.value
-
-        def work(batch):
-            flat, before, place, context, sizes = _decoded(batch, h.words)
-            both = np.flatnonzero((place >= 0) & (context >= 0))
-            key = bigram_keys(before[both], flat[both])
-            away = find(h.pairs, key) < 0
-            both, key = both[away], key[away]
-            q = parts(h, w, place[both], context[both])[1] if len(both) else np.zeros(0)
-            yield {"row": np.repeat(batch.column(0).to_numpy(), sizes)[both], "key": key, "q": q.astype(np.float32)}
-
-        return work
-
-    docs = arrow_map(rows, make, "row long, doc_id long, held_out boolean, n_tokens long, known long, base double, model double")
-    of = lambda i, b: F.element_at(F.lit([float(x) for x in weights[:, i]]), b + 1)
-    c, b = F.col("word_count"), F.col("b")
-    rare = _with_counts(_rare_tokens(rows, shared, 1).withColumn("own", F.col("word_count") < 0), unigrams, count).withColumn("b", _bucket(F.col("context_count"), n))
-    r = of(1, b) * c / F.lit(float(max(1, n))) + of(2, b) / F.lit(float(v + 1))
-    rare = stored(rare.select("row", "key", (F.col("own") & (c > 0)).cast("long").alias("known"), F.when(F.col("own"), F.log10((c + 1) / F.lit(float(n + v + 1)))).otherwise(0.0).alias("base"), F.log10(r).alias("model"), (of(0, b) / F.greatest(F.col("context_count"), F.lit(1)) / r).cast("float").alias("q")), "rare")
-    free_shuffles(spark)
-    left = arrow_map(rows, make_left, "row long, key long, q float").unionByName(rare.filter("q > 0").select("row", "key", "q"))
-    gains = left.join(pairs.select("key", count.alias("count")), "key").groupBy("row").agg(F.sum(F.log10(1 + F.col("q").cast("double") * F.col("count"))).alias("_gain"))
-    more = rare.groupBy("row").agg(F.sum("known").alias("_known"), F.sum("base").alias("_base"), F.sum("model").alias("_model"))
-    zero = F.lit(0.0)
-    return docs.join(gains, "row", "left").join(more, "row", "left").select(
-        "doc_id", "held_out", "n_tokens", (F.col("known") + F.coalesce("_known", F.lit(0))).cast("long").alias("n_known"), F.lit(n).cast("long").alias("train_tokens"),
-        (F.col("base") + F.coalesce("_base", zero)).alias("base_score"), (F.col("model") + F.coalesce("_model", zero) + F.coalesce("_gain", zero)).alias("score"),
-    )
+    blocks, found, model = fit(df, order, modulus, out, tokens_a_block=tokens_a_block)
+    n, v, weights = model.total, model.vocabulary, model.weights
+
+    def scores(key, left, right):
+        (row,) = left.to_pylist()
+        block = Block.of(row)
+        counts, contexts = counts_of(block, right.to_pylist(), "total", order)
+        lam = weights[buckets(contexts)].T
+        p = lam[0] / (v + 1) + (lam[1:] * likelihoods(counts, contexts, n)).sum(axis=0)
+        first = block.first
+        return pa.table({
+            "doc_id": pa.array(row["doc_ids"], pa.int64()), "held_out": np.full(len(first), row["part"] == OUT), "n_tokens": block.sizes,
+            "n_known": np.add.reduceat(counts[0] > 0, first, dtype=np.int64), "train_tokens": np.full(len(first), n, np.int64),
+            "base_score": np.add.reduceat(np.log10((counts[0] + 1) / (n + v + 1)), first), "score": np.add.reduceat(np.log10(p), first),
+        }, schema=_arrow_schema(SCORES))
+
+    asked_of = found.select("block", "kind", "range", "n", "total")
+    return blocks.groupBy("block").cogroup(asked_of.groupBy("block")).applyInArrow(scores, SCORES)

@@ -13,7 +13,6 @@ import numpy as np
 import pytest
 
 from sparquern.llm import fingerprints, langid, mixing, neardup, ngrams, packing, secretscan, sharding, tokenfiles, topk
-from sparquern.llm.shared import hash_words
 from sparquern.llm.tokens import SpacedPieces, WordPieces, vocabulary_path
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, component string, rank int, row_number long"
@@ -366,62 +365,92 @@ def test_scores(docs, rows):
     assert all(r["score"] < 0 and math.isfinite(r["score"]) for r in out)
 
 
-def test_model_is_a_distribution(spark):
-    """Over all known words and the unknown one the probabilities after each context sum to one."""
-    rng = random.Random(8)
-    vocabulary = WORDS[:12]
-    rows = [(i, " ".join(rng.choices(vocabulary, k=30))) for i in range(80)]
-    _, head, weights = ngrams.fit(spark.createDataFrame(rows, "doc_id long, text string"))
-    tokens = hash_words([*[w.encode() for w in vocabulary], ngrams.END, b"never seen"])
-    for before in tokens:
-        place, context = ngrams.find(head.words, tokens), np.repeat(ngrams.find(head.words, np.array([before])), len(tokens))
-        bucket, f2 = head.features(tokens, np.repeat(before, len(tokens)), place, context, 1)
-        count = np.where(place >= 0, head.word_counts[place, 1], 0)
-        lam = weights[bucket]
-        p = lam[:, 0] * f2 + lam[:, 1] * count / head.total[1] + lam[:, 2] / (head.vocabulary[1] + 1)
-        assert abs(p.sum() - 1) < 1e-9 or not f2.any()
-
-
-def test_share_moves_no_score(spark):
-    """Words and pairs below the share are counted and scored like others: broadcast or joined in, the model is the same."""
+def plain_scores(rows, model, order=3):
+    """Log probabilities from plain counts of all n-grams, with the weights of the model."""
+    rest = lambda d: zlib.crc32(b"" if d is None else str(d).encode()) % 7
+    counts = [Counter() for _ in range(order)]
+
+    def grams(text):
+        tokens = [None, " ", *words(text), " "]
+        for i in range(2, len(tokens)):
+            yield [tuple(tokens[max(0, i - k) : i + 1]) for k in range(order)]
+
+    for r in rows:
+        if rest(r[0]) != 2:
+            for own in grams(r[1]):
+                for k, g in enumerate(own):
+                    counts[k][g] += 1
+    contexts = [Counter() for _ in range(order)]
+    for k in range(order):
+        for g, c in counts[k].items():
+            contexts[k][g[:-1]] += c
+    v = len(counts[0])
+
+    def p(own):
+        level = max([0, *[k for k in range(1, order) if contexts[k][own[k][:-1]]]])
+        lam = model.weights[level * ngrams.WIDTH + contexts[level][own[level][:-1]].bit_length() - 1 if level else 0]
+        return lam[0] / (v + 1) + sum(lam[k + 1] * counts[k][own[k]] / max(1, contexts[k][own[k][:-1]]) for k in range(order))
+
+    return p, [sum(math.log10(p(own)) for own in grams(r[1])) for r in rows]
+
+
+@pytest.mark.parametrize(("order", "block"), [(3, 1 << 19), (3, 700), (2, 300), (1, 5000), (4, 1000)])
+def test_scores_equal_a_plain_model(spark, order, block):
+    """Any order, and blocks of any size, give the scores of plain counts over all n-grams."""
     rng = random.Random(12)
     vocabulary = [f"w{int(rng.paretovariate(0.6))}" for _ in range(400)]
-    df = spark.createDataFrame([(i, " ".join(rng.choices(vocabulary, k=40))) for i in range(150)], "doc_id long, text string")
-    whole, split, none = ({r["doc_id"]: r for r in ngrams.score_documents(df, share=share).collect()} for share in (2.0**-20, 0.004, 1.0))
-    for other in (split, none):
-        assert all(other[i][c] == whole[i][c] for i in whole for c in ("held_out", "n_tokens", "n_known", "train_tokens"))
-        assert all(abs(other[i][c] - whole[i][c]) < 1e-4 for i in whole for c in ("base_score", "score"))
+    rows = [(i, " ".join(rng.choices(vocabulary, k=rng.choice([0, 1, 2, 40, 90])))) for i in range(200)] + [(None, "w1 w2"), (3, None), (3, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    model = ngrams.fit(df, order, tokens_a_block=block)[2]
+    assert np.allclose(model.weights.sum(axis=1), 1)
+    _, expected = plain_scores(rows, model, order)
+    got = sorted((key(r["doc_id"]), round(r["score"], 9)) for r in ngrams.score_documents(df, order, tokens_a_block=block).collect())
+    want = sorted((key(r[0]), round(x, 9)) for r, x in zip(rows, expected, strict=True))
+    assert [g[0] for g in got] == [w[0] for w in want] and np.allclose([g[1] for g in got], [w[1] for w in want], rtol=1e-9, atol=1e-8)
 
 
-def test_scores_use_all_pairs(spark):
-    """Scores from plain counts of all pairs, at a share that leaves none of the pairs in the broadcast table."""
-    rng = random.Random(13)
-    rows = [(i, " ".join(rng.choices(WORDS, k=50))) for i in range(120)]
-    df = spark.createDataFrame(rows, "doc_id long, text string")
-    _, head, weights = ngrams.fit(df, share=0.01)
-    assert len(head.words) and not len(head.pairs)
+def test_model_is_a_distribution(spark):
+    """Over all known words and the unknown one the probabilities after each context sum to one."""
+    rng = random.Random(8)
+    rows = [(i, " ".join(rng.choices(WORDS[:12], k=30))) for i in range(80)]
+    p, _ = plain_scores(rows, ngrams.fit(spark.createDataFrame(rows, "doc_id long, text string"))[2])
+    vocabulary = [w.encode() for w in WORDS[:12]]
+    for before in ([None, " "], [" ", vocabulary[0]], [vocabulary[1], vocabulary[2]], [b"new", vocabulary[3]], [b"new", b"newer"]):
+        total = sum(p([(w,), (before[1], w), (*before, w)]) for w in [*vocabulary, " ", b"never seen"])
+        assert abs(total - 1) < 1e-9
+
+
+def test_weights_come_from_the_deleted_part(spark):
+    """EM over the plain cells of the deleted part gives the weights."""
+    rng = random.Random(15)
+    rows = [(i, " ".join(rng.choices(WORDS[:20], k=50))) for i in range(120)]
+    model = ngrams.fit(spark.createDataFrame(rows, "doc_id long, text string"), 2)[2]
     rest = lambda d: zlib.crc32(str(d).encode()) % 7
-    steps = lambda t: list(zip([" ", *words(t)], [*words(t), " "]))
-    one, two = Counter(), Counter()
+    one, two, context = Counter(), Counter(), Counter()
+    steps = lambda t: list(zip([" ", *words(t)], [*words(t), " "], strict=True))
     for i, t in rows:
-        if rest(i) != 2:
-            one.update(w for _, w in steps(t))
-            two.update(steps(t))
-    n, v = sum(one.values()), len(one)
+        if rest(i) not in (2, 6):
+            for h, w in steps(t):
+                one[w] += 1
+                two[h, w] += 1
+                context[h] += 1
+    n = sum(one.values())
+    cells = [(ngrams.WIDTH + context[h].bit_length() - 1 if context[h] else 0, one[w] / n, two[h, w] / max(1, context[h])) for i, t in rows if rest(i) == 6 for h, w in steps(t)]
+    rough = lambda f: ngrams.bin_value(ngrams.binned(np.array(f)))
+    wanted = ngrams.learn_weights(np.array([c[0] for c in cells]), np.stack([rough([c[1] for c in cells]), rough([c[2] for c in cells])]), np.ones(len(cells)), 1 / (len(one) + 1), 2)
+    assert np.allclose(model.weights, wanted, atol=1e-9)
 
-    def p(h, w):
-        b = min(23, max(1, 24 + math.floor(math.log2(one[h] / n)))) if one[h] else 0
-        return weights[b][0] * two[h, w] / max(1, one[h]) + weights[b][1] * one[w] / n + weights[b][2] / (v + 1)
 
-    out = {r["doc_id"]: r["score"] for r in ngrams.score_documents(df, share=0.01).collect()}
-    assert all(abs(out[i] - sum(math.log10(p(h, w)) for h, w in steps(t))) < 1e-4 for i, t in rows)
+def test_planes_round_trip():
+    for x in ([], [0], [0, 0], [1, 255, 256], [2**64 - 1, 0, 7]):
+        assert ngrams.from_planes(ngrams.planes(np.array(x, np.uint64)), len(x)).tolist() == x
 
 
 def test_em_raises_likelihood():
-    cells = [(5, 0.5, 0.1, 10), (5, 0.0, 0.2, 5), (9, 0.0, 0.01, 3)]
-    weights = ngrams.learn_weights(cells, 0.001)
-    score = lambda w: sum(n * math.log(w[b][0] * f2 + w[b][1] * f1 + w[b][2] * 0.001) for b, f2, f1, n in cells)
-    assert score(weights) > score(np.tile([0.3, 0.6, 0.1], (ngrams.BUCKETS, 1))) and np.allclose(weights.sum(axis=1), 1)
+    bucket, f, n = np.array([45, 45, 80]), np.array([[0.1, 0.2, 0.01], [0.5, 0.0, 0.0], [0.2, 0.1, 0.0]]), np.array([10, 5, 3])
+    weights = ngrams.learn_weights(bucket, f, n, 0.001, 3)
+    score = lambda w: float((n * np.log(w[bucket, 0] * 0.001 + (w[bucket, 1:].T * f).sum(axis=0))).sum())
+    assert score(weights) > score(ngrams.starting_weights(3)) and np.allclose(weights.sum(axis=1), 1)
 
 
 def test_scores_of_nothing_and_without_training(spark, nothing):
