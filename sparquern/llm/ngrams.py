@@ -14,7 +14,7 @@ All n-grams of all training documents count, however rare. Their table is never
 * each range adds up its counts and answers each block in the order of its question, by counts alone;
 * a block and its answers make the scores of its documents.
 
-What travels is so the distinct n-grams of each block, as byte planes, and not a row a token.
+What travels is so the distinct n-grams of each block, as differences of sorted keys, and not a row a token.
 """
 
 from __future__ import annotations
@@ -44,19 +44,28 @@ def remainder(modulus: int = 7) -> Column:
 
 
 def planes(x: np.ndarray) -> bytes:
-    """Unsigned 64-bit numbers as their lowest bytes, then their second ones and so on, as many as the greatest needs."""
+    """Unsigned 64-bit numbers as their lowest bytes, then their second ones and so on, as many as the greatest needs, compressed."""
     x = np.ascontiguousarray(x).astype("<u8", copy=False)
     width = (int(x.max()).bit_length() + 7) // 8 if len(x) else 0
-    return bytes([width]) + np.ascontiguousarray(x.view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes()
+    return bytes([width]) + pa.compress(np.ascontiguousarray(x.view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes(), "zstd", asbytes=True)
 
 
 def from_planes(data: bytes, n: int) -> np.ndarray:
     out = np.zeros((n, 8), np.uint8)
-    width = data[0]
-    out[:, :width] = np.frombuffer(data, np.uint8, offset=1).reshape(width, n).T
+    if width := data[0]:
+        out[:, :width] = np.frombuffer(pa.decompress(data[1:], width * n, "zstd", asbytes=True), np.uint8).reshape(width, n).T
     return out.view("<u8").ravel()
 
 
+def rising(x: np.ndarray) -> bytes:
+    """Sorted unsigned 64-bit numbers by their differences."""
+    return planes(np.diff(x, prepend=x.dtype.type(0)))
+
+
+def from_rising(data: bytes, n: int) -> np.ndarray:
+    return np.cumsum(from_planes(data, n), dtype=np.uint64)
+
+
 def joined_keys(before: np.ndarray, word: np.ndarray) -> np.ndarray:
     """Keys of the n-grams that add a word to those before."""
     with np.errstate(over="ignore"):
@@ -95,7 +104,7 @@ def blocks_of(df: DataFrame, tokens_a_block: int = BLOCK) -> DataFrame:
             words, tokens = np.unique(np.concatenate([x for _, x in held[part]]).view(np.uint64), return_inverse=True)
             out = {
                 "block": [task + state["block"]], "part": [part], "doc_ids": [[d for d, _ in held[part]]], "sizes": [[len(x) for _, x in held[part]]],
-                "n_tokens": [len(tokens)], "n_words": [len(words)], "words": [planes(words)], "tokens": [planes(tokens)],
+                "n_tokens": [len(tokens)], "n_words": [len(words)], "words": [rising(words)], "tokens": [planes(tokens)],
             }
             state["block"] += 1
             held[part], size[part] = [], 0
@@ -124,7 +133,7 @@ class Block:
 
     @classmethod
     def of(cls, row: dict) -> Block:
-        return cls(from_planes(row["words"], row["n_words"]).view(np.int64), from_planes(row["tokens"], row["n_tokens"]).view(np.int64), np.array(row["sizes"], np.int64))
+        return cls(from_rising(row["words"], row["n_words"]).view(np.int64), from_planes(row["tokens"], row["n_tokens"]).view(np.int64), np.array(row["sizes"], np.int64))
 
     @property
     def first(self) -> np.ndarray:
@@ -138,21 +147,22 @@ ASKED = "kind int, range long, block long, part int, n long, keys binary, times
 ANSWERS = "block long, kind int, range long, n long, kept binary, total binary, n_kept long, n_total long, sum_kept long, sum_total long"
 
 
-def asked(blocks: DataFrame, order: int, ranges: int) -> DataFrame:
-    """The distinct n-grams of each block with their counts, by order and range of the key space."""
+def asked(blocks: DataFrame, kinds: range, ranges: int) -> DataFrame:
+    """The distinct n-grams of each block of the orders ``kinds`` with their counts, by order and range of the key space."""
 
     def make():
         def work(batch):
             for row in batch.to_pylist():
                 block = Block.of(row)
-                for k, own in enumerate(block.keys(order)):
-                    keys, times = np.unique(own.view(np.uint64), return_counts=True)
+                grams = block.keys(kinds[-1])
+                for k in kinds:
+                    keys, times = np.unique(grams[k - 1].view(np.uint64), return_counts=True)
                     at = ((keys >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)).astype(np.int64)
                     found, starts = np.unique(at, return_index=True)
                     ends = [*starts[1:], len(keys)]
                     yield {
-                        "kind": [k + 1] * len(found), "range": found, "block": [row["block"]] * len(found), "part": [row["part"]] * len(found), "n": np.diff([*starts, len(keys)]),
-                        "keys": [planes(keys[a:b]) for a, b in zip(starts, ends, strict=True)], "times": [planes(times[a:b]) for a, b in zip(starts, ends, strict=True)],
+                        "kind": [k] * len(found), "range": found, "block": [row["block"]] * len(found), "part": [row["part"]] * len(found), "n": np.diff([*starts, len(keys)]),
+                        "keys": [rising(keys[a:b]) for a, b in zip(starts, ends, strict=True)], "times": [planes(times[a:b]) for a, b in zip(starts, ends, strict=True)],
                     }
 
         return work
@@ -167,7 +177,7 @@ def answers(questions: DataFrame) -> DataFrame:
     def counted(key, table):
         columns = {c: table.column(c).to_pylist() for c in table.column_names}
         sizes = columns["n"]
-        keys = np.concatenate([from_planes(d, n) for d, n in zip(columns["keys"], sizes, strict=True)])
+        keys = np.concatenate([from_rising(d, n) for d, n in zip(columns["keys"], sizes, strict=True)])
         times = np.concatenate([from_planes(d, n) for d, n in zip(columns["times"], sizes, strict=True)]).astype(np.float64)
         part = np.repeat(np.array(columns["part"]), sizes)
         found, at = np.unique(keys, return_inverse=True)
@@ -295,8 +305,11 @@ def fit(df: DataFrame, order: int = 3, modulus: int = 7, out: int = 2, deleted:
     blocks = stored(blocks_of(df.select(F.col("doc_id").cast("long").alias("doc_id"), part.alias("part"), F.col("text").cast("string").alias("text")), tokens_a_block), "blocks")
     tokens = blocks.agg(F.sum("n_tokens")).first()[0] or 0
     ranges = max(2 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-tokens // RANGE))
-    found = stored(answers(asked(blocks, order, ranges)), "gram-counts")
-    free_shuffles(spark)
+    found = None
+    for kinds in [range(1, min(order, 2) + 1), *[range(k, k + 1) for k in range(3, order + 1)]]:  # one after the other, for less disk at a time
+        some = stored(answers(asked(blocks, kinds, ranges)), "gram-counts")
+        found = some if found is None else found.unionByName(some)
+        free_shuffles(spark)
     sums = found.filter("kind = 1").agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("sum_kept", "n_kept", "sum_total", "n_total")]).first()
     bucket, f, n = _cells(blocks, found, order, sums[0])
     free_shuffles(spark)

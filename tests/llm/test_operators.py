@@ -444,6 +444,7 @@ def test_weights_come_from_the_deleted_part(spark):
 def test_planes_round_trip():
     for x in ([], [0], [0, 0], [1, 255, 256], [2**64 - 1, 0, 7]):
         assert ngrams.from_planes(ngrams.planes(np.array(x, np.uint64)), len(x)).tolist() == x
+        assert ngrams.from_rising(ngrams.rising(np.array(sorted(x), np.uint64)), len(x)).tolist() == sorted(x)
 
 
 def test_em_raises_likelihood():
