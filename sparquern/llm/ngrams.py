@@ -31,8 +31,8 @@ from .shared import WordHashes, arrow_map, free_shuffles, hash_words, mixed, sto
 END = b" end "  # no word holds a blank
 START = np.int64(0x51A27)  # stands for the missing context of a document's first token
 TINY = np.uint64(0x9E3779B97F4A7C15)
-BLOCK = 1 << 19  # tokens of a block; one text is never parted
-RANGE = 1 << 21  # tokens for each range of the key space
+BLOCK = 1 << 18  # tokens of a block; one text is never parted
+RANGE = 1 << 20  # tokens for each range of the key space
 WIDTH = 40  # buckets of a level: powers of two of the context's count
 KEPT, DELETED, OUT = 0, 1, 2
 MOST = 4  # the largest order
@@ -192,7 +192,9 @@ def answers(questions: DataFrame) -> DataFrame:
         }
         return pa.table({f.name: pa.array(out[f.name], f.type) for f in ANSWER_TYPES}, schema=ANSWER_TYPES)
 
-    return questions.groupBy("kind", "range").applyInArrow(counted, ANSWERS)
+    # a stated number of partitions stays as it is: small ones, of which a task holds one range at a time
+    parts = int(questions.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return questions.repartition(parts, "kind", "range").groupBy("kind", "range").applyInArrow(counted, ANSWERS)
 
 
 def _arrow_schema(ddl: str) -> pa.Schema:

@@ -48,7 +48,10 @@ def checkpointed(df: DataFrame) -> DataFrame:
 
 
 def free_shuffles(spark: SparkSession) -> None:
-    """Let Spark's cleaner drop the shuffle files of finished jobs now, not at the next chance collection."""
+    """Let Spark's cleaner drop the shuffle files of finished jobs now, not at the next chance collection.
+
+    The job of one row comes first because the session holds on to the last job's plan."""
+    spark.range(1, numPartitions=1).write.format("noop").mode("overwrite").save()
     gc.collect()
     spark.sparkContext._jvm.System.gc()
 
