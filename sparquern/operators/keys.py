@@ -2,24 +2,10 @@
 
 from __future__ import annotations
 
-import uuid
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-
-def scratch(spark: SparkSession) -> str:
-    """The shared folder for intermediate tables; one of our own only where none is set."""
-    from ..session import scratch_dir
-
-    return scratch_dir(spark)
-
-
-def materialised(df: DataFrame, name: str) -> DataFrame:
-    """df written to the shared folder and read back, so what follows sees the same rows however often it is run."""
-    path = f"{scratch(df.sparkSession)}/sparquern-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+from ..session import stored
 
 
 def ordinals(df: DataFrame, *order: Column | str, name: str = "ordinal") -> DataFrame:
@@ -29,7 +15,7 @@ def ordinals(df: DataFrame, *order: Column | str, name: str = "ordinal") -> Data
     a partition meets on the driver. No task sees more than its range.
     """
     by = [F.col(o) if isinstance(o, str) else o for o in order]
-    placed = materialised(df.repartitionByRange(*by).sortWithinPartitions(*by).withColumn("_place", F.monotonically_increasing_id()), "ordinals")
+    placed = stored(df.repartitionByRange(*by).sortWithinPartitions(*by).withColumn("_place", F.monotonically_increasing_id()), "ordinals")
     counts = {r["p"]: r["n"] for r in placed.groupBy(F.shiftright("_place", 33).alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()}
     starts, total = [], 0
     for p in range(max(counts, default=0) + 1):

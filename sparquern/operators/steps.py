@@ -111,7 +111,7 @@ class Step:
                     pdf[f"{step.name}_details"] = [[{"input_text": p, "input_messages": None, "response": r, "completion_mode": True} for p, r in d[2]] for d in done]
                 yield pdf
 
-        out = keys.materialised(todo.mapInPandas(run, kind), self.name).filter("_ok").drop("_ok")
+        out = stored(todo.mapInPandas(run, kind), self.name).filter("_ok").drop("_ok")
         return out if saved is None else out.unionByName(saved, allowMissingColumns=True)
 
 
@@ -173,7 +173,7 @@ def depth_first(steps: list[Step], df: DataFrame, key: str = "row_key") -> DataF
                 rows.append(row | {"_ok": ok})
             yield pdf.__class__(rows, columns=[f.name for f in kind])
 
-    return keys.materialised(df.mapInPandas(run, kind), "depth_first").filter("_ok").drop("_ok")
+    return stored(df.mapInPandas(run, kind), "depth_first").filter("_ok").drop("_ok")
 
 
 def call_log(rows: DataFrame, name: str) -> DataFrame:

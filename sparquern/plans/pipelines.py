@@ -12,6 +12,7 @@ from ..functions import text as T
 from ..functions import verdicts as V
 from ..operators import chunking, keys, quality, retrieval, sampling, segments
 from ..operators.steps import Engine, RuleEngine, Step, depth_first, varied, voted
+from ..session import stored
 
 #: A rule engine that answers all prompts of these pipelines from the prompt's own text.
 RULES = RuleEngine(
@@ -97,7 +98,7 @@ def single_source_qa(docs: DataFrame, engine: Engine = RULES, s: Settings = Sett
         qa = voted(verdict_step(engine, name, head, parse, both), qa, s.votes)
     repaired = Step("repair", "REPAIR?\n" + both, "reply", engine).over(qa).withColumn("r", V.context_repair("reply"))
     qa = repaired.filter("r.verdict in ('keep', 'reword')").withColumns({"question": F.coalesce("r.question", "question"), "answer": F.coalesce("r.answer", "answer")}).drop("reply", "r")
-    qa = keys.materialised(qa, "qa")
+    qa = stored(qa, "qa")
     packed = chunking.singles_packed(qa.withColumnRenamed("parent_key", "parent"), "parent", s.group, F.md5(F.col("question").cast("binary")), "row_key")
     groups = packed.groupBy("pack_id").agg(F.array_sort(F.collect_list(F.struct("parent", "child_idx", "question", "answer"))).alias("qa"))
     turns = F.flatten(F.transform("qa", lambda p: F.array(C.turn(F.lit("human"), p["question"]), C.turn(F.lit("gpt"), p["answer"]))))
@@ -200,7 +201,7 @@ def complete_dataset(docs: DataFrame, engine: Engine = RULES, s: Settings = Sett
     talks = qa["groups"].withColumn("conversations", C.system_added("conversations", instruction))
     texts = talks.select(F.col("pack_id").alias("row_key"), C.rendered_preset("conversations", C.ATK).alias("text"))
     corpus = representation_variation(docs, engine, s).select(F.concat_ws("#", "row_key", F.col("part").cast("string")).alias("row_key"), "text")
-    all_ = keys.materialised(corpus.unionByName(texts).withColumn("n_tokens", T.token_count("text")), "complete")
+    all_ = stored(corpus.unionByName(texts).withColumn("n_tokens", T.token_count("text")), "complete")
     chosen = chunking.budget_prefix(all_, F.md5(F.col("text").cast("binary")), "n_tokens", budget, tie="row_key")
     return {"pretrain": chosen, "qa": qa["qa"], "chats": talks, "corrections": corrections(docs, engine, s), "rag": rag_data(docs, engine, s)}
 
