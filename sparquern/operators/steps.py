@@ -16,7 +16,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from . import keys, quality
+from ..session import stored
+from . import quality
 
 
 class Engine(Protocol):
