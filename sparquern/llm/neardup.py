@@ -12,9 +12,9 @@ How large groups are kept linear:
   joins groups of near copies in as many comparisons as they have members;
 * then lists of at most ``hot`` entries give their pairs across what isn't joined yet;
 * longer lists (a passage that many documents hold, or near copies of one text) are left out there. Where
-  at most half of a sketch is in such lists, the other half finds every partner. For classes with more
-  than half there, all members outside the largest component of a list's hub are compared with all members,
-  in blocks of full sets, so nothing is capped.
+  fewer values of a sketch are in such lists than a pair at the threshold must share (21 of 48, or half of a
+  whole small set), the others find every partner. For classes with more there, all members outside the
+  largest component of a list's hub are compared with all members, in blocks of full sets, so nothing is capped.
 
 With k = 48 a pair at the threshold passes every sketch filter but with a chance below 1e-6 (five
 standard deviations), and no such pair is skipped for the size of a list.
@@ -28,9 +28,11 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import WordHashes, arrow_map, checkpointed, free_shuffles, list_array, mixed, stored, words_of
+from .shared import WordHashes, arrow_map, checkpointed, free_shuffles, list_array, mixed, stored, unused, words_of
+from .sharding import numbered
 
 K, HOT, REACH, BLOCK, FILTER_BITS = 48, 32, 16, 256, 1 << 24
+BLOCK_SHINGLES, COLUMNS = 1 << 20, 1 << 13
 FACTORS = mixed(np.arange(101, 101 + 64, dtype=np.int64)) | np.uint64(1)
 
 
@@ -50,7 +52,7 @@ def shingle_set(hashes: np.ndarray, width: int = 5) -> np.ndarray:
 
 
 def sketched(df: DataFrame, width: int, k: int) -> DataFrame:
-    """doc_id, n_shingles, digest of the set (null if empty), the k least hashes."""
+    """doc_id, text_hash, n_shingles, digest of the set (null if empty), the k least hashes."""
 
     def make():
         words = WordHashes()
@@ -58,13 +60,13 @@ def sketched(df: DataFrame, width: int, k: int) -> DataFrame:
         def work(batch):
             sets = [shingle_set(words.hashes(words_of(t)), width) for t in batch.column(1).to_pylist()]
             yield {
-                "doc_id": batch.column(0), "n_shingles": [len(s) for s in sets], "digest": [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets],
+                "doc_id": batch.column(0), "text_hash": batch.column(2), "n_shingles": [len(s) for s in sets], "digest": [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets],
                 "sketch": list_array([s[:k] for s in sets], pa.int64()),
             }
 
         return work
 
-    return arrow_map(df, make, "doc_id long, n_shingles long, digest binary, sketch array<long>")
+    return arrow_map(df.select("doc_id", "text", F.xxhash64("text").alias("text_hash")), make, "doc_id long, text_hash long, n_shingles long, digest binary, sketch array<long>")
 
 
 def sets_of(df: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
@@ -138,9 +140,34 @@ def near_duplicates(df: DataFrame, percent: int = 75, width: int = 5, k: int = K
     kept. Null doc_id: takes no part in links; component_id null, kept. Repeated rows are copies of each
     other, and of repeated doc_ids each row is judged by its own text. No rows, no result; other columns are ignored.
     """
-    spark = df.sparkSession
+    out = _labelled(df, percent, width, k, hot)
+    component = F.col("component")
+    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
+
+
+def _labelled(df: DataFrame, percent: int, width: int, k: int, hot: int) -> DataFrame:
+    """doc_id, text_hash, n_shingles, digest (null: no shingles), component (null: no doc_id) of each row."""
     docs = df.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows = stored(sketched(docs, width, k), "sketches")
+    usable = rows.filter("digest is not null and doc_id is not null")
+    several = usable.groupBy("doc_id").agg(F.min("digest").alias("a"), F.max("digest").alias("b")).filter("a <> b")
+    if several.isEmpty():
+        return _with_components(rows, docs, percent, width, k, hot)
+    # a doc_id that stands for different texts is no name for a set: rows go by their number in the order of doc_id
+    placed, _ = numbered(docs, ["doc_id"], "number")
+    named = placed.filter("doc_id is not null")
+    renamed = named.select(F.col("number").alias("doc_id"), "text")
+    found = _with_components(stored(sketched(renamed, width, k), "sketches"), renamed, percent, width, k, hot)
+    own = named.select(F.col("number"), F.col("doc_id").alias("own_id"))
+    found = found.withColumnRenamed("doc_id", "number").join(own, "number").withColumnRenamed("own_id", "doc_id")
+    least = own.select(F.col("number").alias("component"), F.col("own_id").alias("least"))
+    found = found.join(least, "component").select("doc_id", "text_hash", "n_shingles", "digest", F.col("least").alias("component"))
+    return found.unionByName(rows.filter("doc_id is null").select("doc_id", "text_hash", "n_shingles", "digest", F.lit(None).cast("long").alias("component")))
+
+
+def _with_components(rows: DataFrame, docs: DataFrame, percent: int, width: int, k: int, hot: int) -> DataFrame:
+    """The sketched rows with the components of their sets; a doc_id has one set at most."""
+    spark = docs.sparkSession
     classes = stored(rows.filter("digest is not null and doc_id is not null").groupBy("digest").agg(F.min("doc_id").alias("id"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch")), "classes")
     lists = classes.select("id", "n", F.explode("sketch").alias("value"))
     sizes = lists.groupBy("value").agg(F.count(F.lit(1)).alias("m"), F.min(F.struct("id", "n")).alias("hub")).filter("m > 1")
@@ -161,9 +188,11 @@ def near_duplicates(df: DataFrame, percent: int = 75, width: int = 5, k: int = K
     final = checkpointed(components(stars.unionByName(more).unionByName(blocks)))
     free_shuffles(spark)
     labels = classes.select("digest", "id").join(final, "id", "left").select("digest", F.coalesce("component", "id").alias("component"))
-    out = rows.select("doc_id", "n_shingles", "digest").join(labels, "digest", "left")
+    # rows without a set match nothing, and are spread over all tasks
+    spread = F.coalesce("digest", F.monotonically_increasing_id().cast("string").cast("binary"))
+    out = rows.drop("sketch").withColumn("_key", spread).join(labels.withColumnRenamed("digest", "_key"), "_key", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
+    return out.select("doc_id", "text_hash", "n_shingles", "digest", component.alias("component"))
 
 
 def _pairs_of_lists(placed: DataFrame, percent: int, k: int, hot: int) -> DataFrame:
@@ -185,7 +214,9 @@ def _links_of_hot_lists(docs: DataFrame, placed: DataFrame, percent: int, width:
     against all members, in blocks of about BLOCK classes of like size. A task confirms its pairs on the
     full sets and hands on a link only where it joins what the block has not joined yet.
     """
-    mostly = placed.filter(2 * F.col("hot") > F.least(F.lit(k), "n"))
+    # fewer retained values than this in long lists leave a pair at the threshold enough others
+    own = F.least(F.lit(k), "n")
+    mostly = placed.filter(F.col("hot") >= F.least(F.floor(own / 2) + 1, F.lit(max(1, int(least_shared(float(k), percent))))))
     values = F.slice(F.array_sort(F.filter("entries", lambda e: e["m"] > hot)), 1, REACH)
     hubs = mostly.select("id", "n", "component", F.explode(F.array_distinct(F.transform(values, lambda e: e["hub"]["id"]))).alias("hub"))
     parts = hubs.groupBy("hub", "component").agg(F.count(F.lit(1)).alias("c"))
@@ -194,12 +225,16 @@ def _links_of_hot_lists(docs: DataFrame, placed: DataFrame, percent: int, width:
     sets = sets_of(docs, members.select("id"), width)
     ratio = 100 / percent
     rows = members.join(sets.dropDuplicates(["id"]), "id").withColumn("band", F.floor(F.log("n") / F.lit(float(np.log(ratio)))).cast("int"))
-    rows = stored(rows.withColumn("chunk", F.pmod(F.xxhash64("id"), F.ceil(F.col("m") / F.lit(float(BLOCK))))), "blocks")
+    # as many chunks of a hub's band as hold BLOCK classes and BLOCK_SHINGLES shingles each
+    sized = rows.groupBy("hub", "band").agg(F.greatest(F.ceil(F.count(F.lit(1)) / F.lit(float(BLOCK))), F.ceil(F.sum("n") / F.lit(float(BLOCK_SHINGLES)))).alias("chunks"))
+    rows = stored(rows.join(sized, ["hub", "band"]).withColumn("chunk", F.pmod(F.xxhash64("id"), "chunks")), "blocks")
     item = F.collect_list(F.struct("id", "component", "set"))
     blocks = rows.groupBy("hub", "band", "chunk").agg(item.alias("block"))
-    near = blocks.select("hub", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)).alias("band"), "block")
-    apart = rows.filter("component <> main").groupBy("hub", "band", "chunk").agg(item.alias("apart"))
-    met = apart.select("hub", "band", "apart").join(near, ["hub", "band"])
+    apart = rows.filter("component <> main").groupBy("hub", "band", "chunk").agg(item.alias("apart")).drop("chunk")
+    # each block apart goes to each chunk of its band and those beside, so that a hub's blocks meet in many tasks
+    beside = apart.withColumn("band", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)))
+    sent = beside.join(rows.select("hub", "band", "chunks").distinct(), ["hub", "band"]).withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1))).drop("chunks")
+    met = sent.join(blocks, ["hub", "band", "chunk"])
 
     def make():
         def work(batch):
@@ -225,9 +260,15 @@ def _block_links(x: list[int], x_parts: list[int], x_sets: list[np.ndarray], y:
     column = np.cumsum(times > 1) - 1  # values of one set alone meet nothing
     row = np.repeat(np.arange(len(sets)), n)
     keep = times[at] > 1
-    bag = np.zeros((len(sets), int((times > 1).sum())), np.float32)
-    bag[row[keep], column[at[keep]]] = 1
-    shared = (bag[: len(x)] @ bag[len(x) :].T).astype(np.int64)
+    row, column = row[keep], column[at[keep]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    shared = np.zeros((len(x), len(y)), np.int64)
+    for first in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
+        some = slice(*np.searchsorted(column, (first, first + COLUMNS)))
+        bag = np.zeros((len(sets), COLUMNS), np.float32)
+        bag[row[some], column[some] - first] = 1
+        shared += (bag[: len(x)] @ bag[len(x) :].T).astype(np.int64)
     union = n[: len(x), None] + n[None, len(x) :] - shared
     parent = {c: c for c in x_parts + y_parts}
 
@@ -246,8 +287,15 @@ def _block_links(x: list[int], x_parts: list[int], x_sets: list[np.ndarray], y:
     return out
 
 
-def drop_near_duplicates(df: DataFrame, **parameters) -> DataFrame:
-    """The rows of df, with all their columns, of which one document of each component stays: that of the
-    smallest doc_id, once. Rows of null doc_id stay."""
-    found = near_duplicates(df, **parameters).filter("doc_id is not null and kept").select("doc_id").distinct()
-    return df.join(found, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*df.columns).unionByName(df.filter("doc_id is null"))
+def drop_near_duplicates(df: DataFrame, percent: int = 75, width: int = 5, k: int = K, hot: int = HOT) -> DataFrame:
+    """The rows of df, with all their columns, of which one of each component stays: that of the smallest
+    doc_id, and of several texts under that doc_id the one of the least hash. Rows of one doc_id whose texts
+    are no near copies are different documents and all stay, as do rows of null doc_id or without a word."""
+    found = _labelled(df, percent, width, k, hot).filter("doc_id is not null and digest is not null")
+    # the smallest doc_id's own row, and not another row of that doc_id
+    first = found.groupBy("component").agg(F.min(F.struct("doc_id", "text_hash")).alias("first"))
+    apart = [unused(df, "_id"), unused(df, "_hash")]
+    first = first.select(F.col("first.doc_id").alias(apart[0]), F.col("first.text_hash").alias(apart[1]))
+    named = df.withColumns({apart[0]: F.col("doc_id").cast("long"), apart[1]: F.xxhash64(F.col("text").cast("string"))})
+    worded = F.coalesce(F.col("text").cast("string").rlike(r"[^\x20\x09-\x0D]"), F.lit(False)) & F.col(apart[0]).isNotNull()
+    return named.filter(worded).join(first, apart, "left_semi").dropDuplicates(apart).unionByName(named.filter(~worded)).select(*df.columns)

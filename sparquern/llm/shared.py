@@ -2,11 +2,7 @@
 
 from __future__ import annotations
 
-import atexit
 import gc
-import shutil
-import tempfile
-import uuid
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -15,37 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_own_dir: list[str] = []
-
-
-def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder of ``spark.checkpoint.dir``; only where that is unset, one of our own is set."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if found:
-        return found.rstrip("/")
-    if not _own_dir:
-        _own_dir.append(tempfile.mkdtemp(prefix="sparquern-"))
-        atexit.register(shutil.rmtree, _own_dir[0], ignore_errors=True)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(f"file://{_own_dir[0]}")
-    return f"file://{_own_dir[0]}"
-
-
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write df as Parquet into the shared scratch folder and read it back.
-
-    It cuts the lineage, so later stages survive lost executors, and each reader gets the same rows.
-    """
-    spark = df.sparkSession
-    path = f"{scratch_dir(spark)}/sparquern-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def checkpointed(df: DataFrame) -> DataFrame:
-    scratch_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
+from ..session import checkpointed, scratch_path, stored  # noqa: F401  for the operators
 
 def free_shuffles(spark: SparkSession) -> None:
     """Let Spark's cleaner drop the shuffle files of finished jobs now, not at the next chance collection.
@@ -56,6 +22,14 @@ def free_shuffles(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A column name that df doesn't have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def text_or_empty(col: str = "text") -> Column:
     return F.coalesce(F.col(col).cast("string"), F.lit(""))
 
