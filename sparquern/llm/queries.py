@@ -77,11 +77,11 @@ shared AS (
   FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id),
 links AS (
   SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * c >= 75 * (x.n + y.n - c)),
-both AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+edges AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
 reach AS (
-  SELECT a AS doc_id, a AS other FROM both
+  SELECT a AS doc_id, a AS other FROM edges
   UNION
-  SELECT r.doc_id, e.b FROM reach r JOIN both e ON e.a = r.other)
+  SELECT r.doc_id, e.b FROM reach r JOIN edges e ON e.a = r.other)
 SELECT d.doc_id, coalesce(z.n, 0)::BIGINT AS n_shingles, coalesce(r.c, d.doc_id)::BIGINT AS component_id, coalesce(r.c, d.doc_id) = d.doc_id AS kept
 FROM docs d LEFT JOIN sizes z ON z.doc_id = d.doc_id
 LEFT JOIN (SELECT doc_id, min(other) AS c FROM reach GROUP BY doc_id) r ON r.doc_id = d.doc_id
