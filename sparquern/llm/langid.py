@@ -13,12 +13,13 @@ from collections import Counter, defaultdict
 from dataclasses import dataclass
 
 import numpy as np
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .shared import WordIndex, arrow_map, mixed, stored
 
-LETTERS = re.compile(r"[^\W\d_]+")
+LETTERS = regex.compile(r"\p{L}+")
 DIGIT = re.compile(r"\d")
 UNKNOWN = "und"
 DISCOUNT = 0.75
