@@ -1,14 +1,15 @@
 """Harmonic packing of tokenised documents into sequences of fixed capacity.
 
-Lengths fall into reciprocal-capacity classes: class j holds pieces over capacity / (j + 1) and up to
-capacity / j, and each of its bins takes j of them. Every task fills its own bins; nothing is shuffled.
+Whole sequences are cut off a document first. What remains stays whole: its length falls into a
+reciprocal-capacity class, where class j holds lengths over capacity / (j + 1) and up to capacity / j, and each
+of its bins takes j of them. The gap that such a bin has left is filled by pieces of some other remainder,
+which alone is cut. Every task fills its own bins; nothing is shuffled.
 """
 
 from __future__ import annotations
 
 import zlib
 from collections import defaultdict
-from collections.abc import Iterator
 
 from pyspark.sql import DataFrame
 
@@ -18,86 +19,87 @@ from .tokens import SpacedPieces, shared_pieces, vocabulary_path
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, capacity long"
 
 
-def cuts(n: int, capacity: int, least: int) -> Iterator[int]:
-    """Lengths into which a document of n ids is cut: full sequences, then halves of the capacity, quarters
-    and so on down to ``least``, each of which fills its class without waste, then the rest under ``least``."""
-    while n >= capacity:
-        yield capacity
-        n -= capacity
-    size = capacity
-    while size > least:
-        size //= 2
-        if n >= size:
-            yield size
-            n -= size
-    if n:
-        yield n
+Piece = tuple[int | None, int, bytes, int]  # doc_id, start, ids, the document's number of ids
 
 
-def binary(n: int) -> Iterator[int]:
-    """The powers of two that sum to n, descending."""
-    for bit in range(n.bit_length() - 1, -1, -1):
-        if n >> bit & 1:
-            yield 1 << bit
+def cut(piece: Piece, n: int) -> tuple[Piece, Piece]:
+    """The first n ids of a piece, and the others."""
+    doc, start, ids, tokens = piece
+    return (doc, start, ids[: 4 * n], tokens), (doc, start + n, ids[4 * n :], tokens)
+
+
+def length(piece: Piece) -> int:
+    return len(piece[2]) // 4
 
 
 class HarmonicBins:
-    """Open bins by class. A piece is (doc_id, start, length, crc of its ids, ids, doc_tokens)."""
+    """Open bins by class, the bins that lack but their filling, and the remainder that is cut to fill them."""
 
     def __init__(self, capacity: int, first_id: int) -> None:
         self.capacity, self.next_id = capacity, first_id
-        self.open: dict[int, list] = defaultdict(list)
-
-    def put(self, piece: tuple) -> list[tuple]:
-        """The rows of the bin that this piece fills, if it does."""
-        j = self.capacity // piece[2]
-        bin_ = self.open[j]
-        bin_.append(piece)
-        if len(bin_) < j:
-            return []
-        del self.open[j]
-        return self.closed(bin_)
-
-    def closed(self, bin_: list[tuple]) -> list[tuple]:
+        self.open: dict[int, list[Piece]] = defaultdict(list)
+        self.waiting: list[Piece] = []
+        self.filler: Piece | None = None
+
+    def put(self, document: Piece) -> list[tuple]:
+        """The rows of the sequences that this document fills."""
+        rows: list[tuple] = []
+        while length(document) >= self.capacity:
+            full, document = cut(document, self.capacity)
+            rows += self.closed([full])
+        n = length(document)
+        if not n:
+            return rows
+        if self.waiting:  # then there is no filler left
+            self.filler = document
+        else:
+            j = self.capacity // n
+            self.open[j].append(document)
+            if len(self.open[j]) == j:
+                self.waiting = self.open.pop(j)
+        while self.waiting and (gap := self.capacity - sum(map(length, self.waiting))) and self.filler is not None:
+            piece, rest = cut(self.filler, gap)
+            self.filler = rest if length(rest) else None
+            self.waiting.append(piece)
+        if self.waiting and sum(map(length, self.waiting)) == self.capacity:
+            rows += self.closed(self.waiting)
+            self.waiting = []
+        return rows
+
+    def closed(self, bin_: list[Piece]) -> list[tuple]:
         rows, offset = [], 0
-        for doc, start, length, ids, tokens in bin_:
-            rows.append((doc, start, length, zlib.crc32(ids), tokens, self.next_id, offset, self.capacity))
-            offset += length
+        for piece in bin_:
+            doc, start, ids, tokens = piece
+            rows.append((doc, start, length(piece), zlib.crc32(ids), tokens, self.next_id, offset, self.capacity))
+            offset += length(piece)
         self.next_id += 1
         return rows
 
     def finish(self) -> list[tuple]:
-        """Bins that lack pieces at the end of the task (fewer than one of each class).
+        """What is left at the end of the task, less than one bin of each class, one piece after another.
 
-        Their pieces are cut to powers of two, which fill whole sequences without a gap when laid down
-        from the longest; what remains is closed at each power of two, where no padding is due.
+        It is cut where a sequence ends; the last sequences end at powers of two, where no padding is due.
         """
-        parts = []
-        for bin_ in self.open.values():
-            for doc, start, length, ids, tokens in bin_:
-                at = 0
-                for size in binary(length):
-                    parts.append((doc, start + at, size, ids[4 * at : 4 * (at + size)], tokens))
-                    at += size
+        left = [*self.waiting, *([self.filler] if self.filler else []), *(p for bin_ in self.open.values() for p in bin_)]
         self.open.clear()
-        parts.sort(key=lambda p: -p[2])
-        left, rows, bin_, filled, goal = sum(p[2] for p in parts), [], [], 0, 0
-        for p in parts:
-            if not goal:
-                goal = self.capacity if left >= self.capacity else 1 << (left.bit_length() - 1)
-            bin_.append(p)
-            filled += p[2]
-            if filled == goal:
-                rows += self.closed(bin_)
-                left, bin_, filled, goal = left - filled, [], 0, 0
+        self.waiting, self.filler = [], None
+        total, rows, bin_, goal = sum(map(length, left)), [], [], 0
+        for piece in left:
+            while length(piece):
+                goal = goal or min(self.capacity, 1 << total.bit_length() - 1)
+                first, piece = cut(piece, goal - sum(map(length, bin_)))
+                bin_.append(first)
+                if sum(map(length, bin_)) == goal:
+                    rows += self.closed(bin_)
+                    total, bin_, goal = total - goal, [], 0
         return rows
 
 
-def pack_documents(df: DataFrame, capacity: int = 1024, end_id: int = 0, vocabulary: str | None = None, least: int = 32) -> DataFrame:
+def pack_documents(df: DataFrame, capacity: int = 1024, end_id: int = 0, vocabulary: str | None = None) -> DataFrame:
     """Pieces of all documents of (doc_id, text) with their place in the packed sequences.
 
-    A document is its ids and then ``end_id``; it is cut at will and each id lies in just one piece.
-    ``capacity`` is a power of two. Null or empty text: the end id alone. Null doc_ids and repeated rows
+    A document is its ids and then ``end_id``; each id lies in just one piece, and but for the fillers of other
+    bins a document lies in as few sequences as its length needs. ``capacity`` is a power of two. Null or empty text: the end id alone. Null doc_ids and repeated rows
     are documents of their own. An empty table gives no rows. Other columns are ignored.
     sequence_id has the number of the task above its 33 lower bits.
     """
@@ -119,10 +121,7 @@ def pack_documents(df: DataFrame, capacity: int = 1024, end_id: int = 0, vocabul
             rows: list[tuple] = []
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 ids = pieces.ids(text or "") + end
-                n, start = len(ids) // 4, 0
-                for length in cuts(n, capacity, least):
-                    rows += bins.put((doc, start, length, ids[4 * start : 4 * (start + length)], n))
-                    start += length
+                rows += bins.put((doc, 0, ids, len(ids) // 4))
             yield columns(rows)
 
         work.finish = lambda: [columns(bins.finish())]

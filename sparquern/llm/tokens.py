@@ -30,6 +30,9 @@ def byte_letters() -> dict[int, str]:
 class PieceCache(dict):
     """Piece of text to its ids as little-endian unsigned 32-bit bytes. At most ``bound`` pieces are held.
 
+    A text that holds the string of an added token gets that token's id there, as the library gives it; such
+    a text is encoded whole.
+
     Most pieces are of common Latin letters. Those are parted here and given to the tokenizer's merges
     directly, which is the same work without the cost of a whole encoding; all others are encoded whole.
     """
@@ -44,7 +47,8 @@ class PieceCache(dict):
 
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        # in either case, as a vocabulary may lower-case texts before it looks
+        self.added = re.compile("|".join(re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()) or "(?!)", re.IGNORECASE).search
         self.merges = self.tokenizer.model.tokenize
         self.parts = regex.compile(self.PATTERN).findall
         self.letters = {chr(b): c for b, c in byte_letters().items()}
@@ -55,6 +59,9 @@ class PieceCache(dict):
     def encode(self, text: str) -> bytes:
         return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
+    def ids(self, text: str) -> bytes:
+        return self.encode(text) if "<" in text and self.added(text) else self.piecewise(text)
+
     def encode_piece(self, text: str) -> bytes:
         merges, table = self.merges, self.table
         if m := self.PLAIN.fullmatch(text):
@@ -93,7 +100,7 @@ class SpacedPieces(PieceCache):
     def __missing__(self, part: str) -> bytes:
         return self.recent.get(part) or self.keep(part, self.encode_piece(" " + part))
 
-    def ids(self, text: str) -> bytes:
+    def piecewise(self, text: str) -> bytes:
         if not text:
             return b""
         parts = text.split(" ")
@@ -114,7 +121,7 @@ class WordPieces(PieceCache):
         text = word.decode("utf-8", "replace")
         return self.keep(word, self.encode_piece(text.lower() if self.COMMON.fullmatch(text) else text))
 
-    def ids(self, text: str) -> bytes:
+    def piecewise(self, text: str) -> bytes:
         return b"".join(map(self.__getitem__, text.encode("utf-8", "replace").split()))
 
 
