@@ -17,16 +17,35 @@ from .shared import stored, text_or_empty
 
 ROUNDS = 6
 WALKS = 64
+PRIME = (1 << 31) - 1
+
+
+def round_keys(key: int, rounds: int = ROUNDS) -> tuple[list[int], list[int]]:
+    """Two numbers below PRIME for each of the two halves of each round, from the key by a linear generator."""
+    found, state = [], key
+    for _ in range(4 * rounds):
+        state = (state * 6364136223846793005 + 1442695040888963407) % 2**64
+        found.append((state >> 33) % PRIME)
+    return found[: 2 * rounds], found[2 * rounds :]
+
+
+def scrambled(x: Column, i: Column, keys: tuple[list[int], list[int]]) -> Column:
+    """The round function: squares modulo a prime, in whole numbers that any SQL engine has."""
+    add, times = (F.element_at(F.lit(k), i).cast("long") for k in keys)
+    first = F.pmod(x + add, F.lit(PRIME))
+    second = F.pmod(F.pmod(first * first, F.lit(PRIME)) + x * times, F.lit(PRIME))
+    return F.pmod(second * second, F.lit(PRIME))
 
 
 def feistel(x: Column, n: int, key: int, rounds: int = ROUNDS) -> Column:
     """One pass of a mixed-radix Feistel network: a bijection of 0 .. a*b - 1 with a*b just over n."""
     a = max(1, math.isqrt(max(n - 1, 0)) + 1)
     b = max(1, -(-n // a))
+    keys = round_keys(key, rounds)
 
     def step(s: Column, i: Column) -> Column:
-        left = F.pmod(s["l"] + F.pmod(F.xxhash64(s["r"], i, F.lit(key)), F.lit(a)), F.lit(a))
-        right = F.pmod(s["r"] + F.pmod(F.xxhash64(left, i, F.lit(~key)), F.lit(b)), F.lit(b))
+        left = F.pmod(s["l"] + scrambled(s["r"], i, keys), F.lit(a))
+        right = F.pmod(s["r"] + scrambled(left, i + rounds, keys), F.lit(b))
         return F.struct(left.cast("long").alias("l"), right.cast("long").alias("r"))
 
     start = F.struct(F.pmod(x, F.lit(a)).cast("long").alias("l"), F.floor(x / F.lit(a)).cast("long").alias("r"))
