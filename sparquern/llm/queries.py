@@ -61,6 +61,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
+_ADD, _TIMES = sharding.round_keys(0x5EED)
+#: The round function of op7 for a number x and the place i of its keys, as SQL.
+_SCRAMBLED = "(((({x} + add[{i}]) % 2147483647) * (({x} + add[{i}]) % 2147483647) % 2147483647 + {x} * times[{i}]) % 2147483647)"
+_SQUARED = f"({_SCRAMBLED} * {_SCRAMBLED} % 2147483647)"
+
 #: DuckDB SQL for the queries that SQL can express.
 ORACLES: dict[str, str] = {
     "op3_bottomk_near_duplicates": r"""
@@ -95,5 +100,50 @@ scored AS (
   FROM v q, v c WHERE q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id)
 SELECT query_id, rank::INTEGER AS rank, vec_id, score
 FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored) WHERE rank <= 10
+""",
+    "op7_feistel_shards": f"""
+WITH RECURSIVE crcs AS (
+  SELECT list_transform(range(256), lambda v: list_reduce([v, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS tab),
+docs AS (
+  SELECT doc_id, coalesce(strlen(text), 0)::BIGINT + 16 AS size,
+    xor(list_reduce(list_prepend(4294967295, list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda h: ('0x' || h)::BIGINT)),
+      lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1])), 4294967295) AS text_crc32
+  FROM documents, crcs),
+numbered AS (SELECT *, row_number() OVER (ORDER BY doc_id NULLS FIRST, text_crc32, size) - 1 AS x FROM docs),
+sides AS (
+  SELECT n, a, (n + a - 1) // a AS b, {_ADD} AS add, {_TIMES} AS times
+  FROM (SELECT count(*) AS n, floor(sqrt(greatest(count(*) - 1, 0)))::BIGINT + 1 AS a FROM docs)),
+walk AS (
+  SELECT x, x % a AS l, x // a AS r, 1 AS i FROM numbered, sides
+  UNION ALL
+  SELECT x, l2, (r + {_SQUARED.format(x="l2", i="i + 6")}) % b, i + 1
+  FROM (SELECT x, (l + {_SQUARED.format(x="r", i="i")}) % a AS l2, r, i
+        FROM (SELECT x, l, r, CASE WHEN i = 7 THEN 1 ELSE i END AS i FROM walk, sides WHERE i <= 6 OR r * a + l >= n), sides), sides),
+placed AS (SELECT x, r * a + l AS position FROM walk, sides WHERE i = 7 AND r * a + l < n)
+SELECT doc_id, size, text_crc32, 'rows' AS law, (position % 40)::INTEGER AS shard, position // 40 AS slot, NULL::INTEGER AS grown_shard, x AS row_number
+FROM numbered JOIN placed USING (x)
+""",
+    "op9_pareto_mix": r"""
+WITH docs AS (
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
+    (('0x' || substr(md5('11:' || coalesce(doc_id::VARCHAR, '')), 1, 13))::BIGINT::DOUBLE + 0.5) / 4503599627370496.0 AS u
+  FROM documents),
+sizes AS (SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS rank FROM docs GROUP BY source),
+weighed AS (SELECT *, [5.0, 2.0, 1.0][rank % 3 + 1]::DOUBLE AS weight, source_size * 2.0::DOUBLE AS full_size, 1.5::DOUBLE * sum(source_size) OVER () AS all_words FROM sizes),
+levels AS (
+  SELECT *, (all_words - coalesce(sum(full_size) OVER (ORDER BY full_size / weight, rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+    / sum(weight) OVER (ORDER BY full_size / weight, rank ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+  FROM weighed),
+chosen AS (SELECT level FROM levels WHERE level * weight < full_size ORDER BY full_size / weight, rank LIMIT 1),
+targets AS (
+  SELECT source, source_size, least(full_size, coalesce((SELECT level FROM chosen) * weight, full_size))::DOUBLE AS target FROM levels),
+plan AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS whole FROM targets),
+ranked AS (
+  SELECT d.doc_id, d.size, p.source_size, p.target, p.whole, p.target - p.whole * p.source_size AS rest,
+    sum(d.size) OVER (PARTITION BY d.source ORDER BY d.u / (1 - d.u) / pow(2.0, (length(bin(d.size)) - 1) // 2), d.doc_id, d.size ROWS UNBOUNDED PRECEDING) AS upto
+  FROM docs d JOIN plan p ON p.source IS NOT DISTINCT FROM d.source)
+SELECT doc_id, size, source_size, target,
+  (size * (whole + CASE WHEN upto - rest <= rest - (upto - size) AND upto - size < rest THEN 1 ELSE 0 END))::BIGINT AS taken
+FROM ranked
 """,
 }

@@ -362,6 +362,19 @@ def test_secrets(spark):
         assert out[i]["n_assign"] == spans.count("assign") and out[i]["n_access"] == spans.count("access") and out[i]["n_hex"] == spans.count("hex")
 
 
+def test_secrets_of_nothing_of_repeated_rows_and_of_long_texts(spark, nothing):
+    import time
+
+    assert secretscan.scan_secrets(nothing).count() == 0 and secretscan.redact_secrets(nothing).count() == 0
+    long = "word " * 400_000 + f"password=hunter2hunter2 {RANDOM} " + "a" * 200_000 + "1 " + "aB" * 100_000 + "9"
+    df = spark.createDataFrame([(1, long), (2, SECRETS[0][0]), (2, SECRETS[0][0]), (None, SECRETS[0][0])], "doc_id long, text string")
+    began = time.monotonic()
+    out = Counter((r["doc_id"], r["n_assign"], r["spans"][:50]) for r in secretscan.scan_secrets(df).collect())
+    assert time.monotonic() - began < 60
+    assert out[2, 1, "assign:2:25"] == 2 and out[None, 1, "assign:2:25"] == 1
+    assert next(k for k in out if k[0] == 1)[2].startswith("assign:2000000:2000023,random:2000024:2000056")
+
+
 def test_base_spans_equal_the_stated_patterns():
     rng = random.Random(6)
     pattern = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -532,6 +545,35 @@ def test_feistel_is_a_permutation(spark, n):
     assert n < 40 or out != sorted(out)
 
 
+def plain_feistel(x, n, key, rounds=6):
+    p, state, found = 2**31 - 1, key, []
+    for _ in range(4 * rounds):
+        state = (state * 6364136223846793005 + 1442695040888963407) % 2**64
+        found.append((state >> 33) % p)
+    add, times = found[: 2 * rounds], found[2 * rounds :]
+    f = lambda v, i: ((pow(v + add[i], 2, p) + v * times[i]) % p) ** 2 % p
+    a = math.isqrt(max(n - 1, 0)) + 1
+    b = -(-n // a)
+    while True:
+        left, right = x % a, x // a
+        for i in range(rounds):
+            left = (left + f(right, i)) % a
+            right = (right + f(left, i + rounds)) % b
+        x = right * a + left
+        if x < n:
+            return x
+
+
+@pytest.mark.parametrize("n", [1, 5, 1000, 3_000_017, 2**40 + 7])
+def test_feistel_equals_a_plain_one(spark, n):
+    from pyspark.sql import functions as F
+
+    rng = random.Random(n)
+    numbers = [rng.randrange(n) for _ in range(50)] + [0, n - 1]
+    out = spark.createDataFrame([(x,) for x in numbers], "x long").select("x", sharding.permuted(F.col("x"), n, 99).alias("p")).collect()
+    assert all(r["p"] == plain_feistel(r["x"], n, 99) for r in out)
+
+
 def test_shards(docs, rows, nothing):
     out = sharding.shard_documents(docs).collect()
     sizes = Counter(r["shard"] for r in out)
@@ -657,11 +699,46 @@ def test_mixture(docs, rows, nothing):
     assert mixing.mix_documents(nothing).count() == 0
 
 
+def test_mixture_is_a_pareto_sample(spark):
+    """Against plain ranks; inclusion odds differ by size, and probabilities times sizes are the rest of the target."""
+    rng = random.Random(21)
+    rows = [(i, " ".join(["w"] * rng.choice([0, 1, 3, 10, 40, 200, 900])), rng.choice("abcd")) for i in range(900)]
+    out = {r["doc_id"]: r for r in mixing.mix_documents(spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)).collect()}
+    sizes = {i: len(words(t)) for i, t, _ in rows}
+    for source in "abcd":
+        own = [i for i, _, s in rows if s == source and sizes[i]]
+        target, total = out[own[0]]["target"], sum(sizes[i] for i in own)
+        whole, rest = target // total, target - target // total * total
+        u = {i: (int(hashlib.md5(f"11:{i}".encode()).hexdigest()[:13], 16) + 0.5) / 2**52 for i in own}
+        favour = {i: 2.0 ** ((sizes[i].bit_length() - 1) // 2) for i in own}
+        upto, taken = 0, {}
+        for i in sorted(own, key=lambda i: (u[i] / (1 - u[i]) / favour[i], i)):
+            extra = upto < rest and upto + sizes[i] - rest <= rest - upto
+            taken[i] = int(sizes[i] * (whole + extra))
+            upto += sizes[i]
+        assert {i: out[i]["taken"] for i in own} == taken
+        if rest:
+            assert math.isclose(sum(out[i]["inclusion"] * sizes[i] for i in own), rest, rel_tol=1e-6)
+            odds = {i: out[i]["inclusion"] / (1 - out[i]["inclusion"]) / favour[i] for i in own}
+            assert max(odds.values()) < 1.000001 * min(odds.values()) and len({round(out[i]["inclusion"], 9) for i in own}) > 3
+
+
+def test_repeated_rows_in_a_mixture(spark):
+    rows = [(5, "a b c", "s", 1)] * 6 + [(None, "a b", None, 2)] * 3 + [(7, None, "s", 3), (8, "d e", "s", 4)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, target int")
+    out = mixing.mix_documents(df).collect()
+    assert len(out) == len(rows) and Counter(r["taken"] for r in mixing.mix_documents(df.repartition(4)).collect()) == Counter(r["taken"] for r in out)
+    assert all(0 <= r["taken"] <= 2 * r["size"] for r in out)
+
+
 def test_mixed_rows(docs):
     mix = mixing.mix_documents(docs).collect()
     out = mixing.mixed_rows(docs)
     assert out.columns == docs.columns
     assert sum(len(words(r["text"])) for r in out.collect()) == sum(r["taken"] for r in mix)
+    named = docs.withColumnsRenamed({"component": "_a", "rank": "_n", "row_number": "_B"})
+    again = mixing.mixed_rows(named)
+    assert again.columns == named.columns and {(r["_a"], r["_n"], r["_B"]) for r in again.collect()} <= {("x", 1, 7), (None, None, None)}
 
 
 def test_targets_by_many_sources(spark):
