@@ -81,25 +81,34 @@ def descending_runs(df: DataFrame, parts: int) -> DataFrame:
     only one row key for each run meets on the driver.
     """
     rows = df.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    bounds = sorted({int(x) for x in rows.stat.approxQuantile("doc_id", [i / parts for i in range(1, parts)], 0.25 / parts)}) if parts > 1 else []
-    below = _below(bounds) if bounds else F.lit(0)
-    rows = rows.withColumn("_tie", F.xxhash64("text")).withColumn("_run", F.when(F.col("doc_id").isNull(), F.lit(len(bounds) + 1)).otherwise(F.lit(len(bounds)) - below))
+    bounds = sorted(int(x) for x in rows.stat.approxQuantile("doc_id", [i / parts for i in range(1, parts)], 0.25 / parts)) if parts > 1 else []
+    missing, total = rows.agg(F.count(F.when(F.col("doc_id").isNull(), 1)), F.count(F.lit(1))).first()
+    # a doc_id that is a bound several times holds as many runs, by the hash of the text; so do missing ones by their share
+    unit = 1 - (F.shiftright("_tie", 11).cast("double") / F.lit(float(1 << 53)) + 0.5)
+    within = lambda n: F.least(F.floor(unit * n).cast("int"), n - 1)
+    upto, several = _below(bounds, False) if bounds else F.lit(0), F.lit(0)
+    if len(set(bounds)) < len(bounds):
+        times = upto - _below(bounds, True)
+        several = F.when(times > 1, within(times)).otherwise(0)
+    nulls = F.lit(len(bounds) + 1) + within(F.lit(1 + parts * missing // max(1, total)))
+    rows = rows.withColumn("_tie", F.xxhash64("text")).withColumn("_run", F.when(F.col("doc_id").isNull(), nulls).otherwise(F.lit(len(bounds)) - upto + several))
     firsts = sorted((r["_run"], r["top"]) for r in rows.groupBy("_run").agg(F.max(F.struct("doc_id", "_tie")).alias("top")).collect())
     runs = [r for r, _ in firsts]
     heads = [(runs[i - 1], top["doc_id"], top["_tie"]) for i, (_, top) in enumerate(firsts)]
     spark = df.sparkSession
     marks = F.broadcast(spark.createDataFrame(heads, "_to int, _id long, _t long"))  # a row a run
-    ghosts = rows.join(marks, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_tie") == F.col("_t"))).select("doc_id", "text", "_tie", F.col("_to").alias("_run"), F.lit(1).alias("_ghost"))
+    ghosts = rows.join(marks, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_tie") == F.col("_t"))).select("doc_id", "text", "_tie", F.col("_to").alias("_run"), F.lit(1).alias("_ghost")).dropDuplicates(["_run"])
     both = rows.withColumn("_ghost", F.lit(0)).unionByName(ghosts)
     return both.repartitionByRange("_run").sortWithinPartitions("_run", "_ghost", F.col("doc_id").desc_nulls_last(), F.col("_tie").desc()).select("doc_id", "text", "_run", "_ghost")
 
 
-def _below(bounds: list[int]):
-    """How many of the sorted bounds are at most doc_id, looked up by every step-th bound and then among one step of them."""
+def _below(bounds: list[int], strict: bool):
+    """How many of the sorted bounds are at most doc_id (strict: below it), looked up by every step-th bound and then among one step of them."""
+    under = lambda x: x < F.col("doc_id") if strict else x <= F.col("doc_id")
     step = max(1, int(len(bounds) ** 0.5))
-    coarse = F.size(F.filter(F.lit(bounds[::step]), lambda x: x <= F.col("doc_id")))
+    coarse = F.size(F.filter(F.lit(bounds[::step]), under))
     start = F.greatest(coarse - 1, F.lit(0)) * step
-    return start + F.size(F.filter(F.slice(F.lit(bounds), start + 1, F.lit(step)), lambda x: x <= F.col("doc_id")))
+    return start + F.size(F.filter(F.slice(F.lit(bounds), start + 1, F.lit(step)), under))
 
 
 def fingerprint_documents(df: DataFrame, samples: int = SAMPLES, parts: int | None = None) -> DataFrame:

@@ -10,6 +10,7 @@ import random
 import re
 import zlib
 from collections import Counter, defaultdict
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -186,6 +187,57 @@ def test_fingerprints_edit_by_the_next_document(docs, rows):
         assert 0 <= r["near_edited"] <= 1 and 0 <= r["near_next"] <= 1
 
 
+@pytest.mark.parametrize("parts", [1, 4, 9])
+def test_hot_doc_ids_and_missing_ones_are_split(spark, parts):
+    """All rows of equal and of null doc_id follow each other by hash; runs split them, and results stay the same."""
+    rows = [(None if i % 3 == 0 else 50 if i % 3 == 1 else i, f"w{i} v{i % 7} common", 1) for i in range(600)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _run int").repartition(5)
+    runs = fingerprints.descending_runs(df, parts).filter("_ghost = 0").groupBy("_run").count().collect()
+    assert parts < 9 or max(r["count"] for r in runs) < 200
+    out = fingerprints.fingerprint_documents(df, parts=parts).collect()
+    assert len(out) == 600
+    tie = {r["text"]: r["t"] for r in df.selectExpr("text", "xxhash64(text) as t").collect()}
+    ordered = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), -tie[r[1]]))
+    edited = [a[1][: len(a[1]) - len(a[1]) // 2] + b[1][: len(a[1]) // 2] for a, b in zip(ordered, ordered[1:] + ordered[:1], strict=True)]
+    assert Counter(r["edited_sha256"] for r in out) == Counter(hashlib.sha256(t.encode()).hexdigest() for t in edited)
+    sampler = fingerprints.Sampler()
+    want = [sampler.fingerprints([words(t)])[0].astype(">u2").tobytes().hex() for t in edited]
+    assert Counter(r["edited_fingerprint"] for r in out) == Counter(want)
+
+
+def plain_fingerprint(text, samples):
+    """Each word's gamma draws one by one in double precision, and the sample of least rank."""
+    from sparquern.llm.shared import hash_words, mixed
+
+    out = []
+    counts = Counter(words(text))
+    for s in range(samples):
+        key_ = mixed(np.array([s + 1], np.int64))
+        best = None
+        for w, n in counts.items():
+            term = hash_words([w]).view(np.uint64)
+            one = int(mixed(term ^ key_)[0])
+            two = int(mixed(np.array([(one + 0x9E3779B97F4A7C15) % 2**64], np.uint64))[0])
+            u = [((x >> at & 0xFFFFFF) + 0.5) / 2**24 for x, at in ((one, 0), (one, 24), (two, 0), (two, 24))]
+            r, c, b = -math.log(u[0] * u[1]), -math.log(u[2] * u[3]), ((one >> 48 << 8) ^ (two >> 48)) / 2**24
+            t = math.floor(math.log(n) / r + b)
+            rank = math.log(c) - r * (t - b) - r
+            if best is None or rank < best[0]:
+                best = rank, int(mixed(np.array([(int(term[0]) + t * 0x9E3779B97F4A7C15) % 2**64], np.uint64))[0]) >> 48
+        out.append(best[1] if best else 0)
+    return out
+
+
+def test_fingerprints_equal_plain_ones():
+    """But for samples whose two least ranks lie closer than single precision tells apart."""
+    rng = random.Random(31)
+    sampler = fingerprints.Sampler(64)
+    texts = [" ".join(rng.choices(WORDS, k=n)) for n in (0, 1, 5, 60, 300)]
+    got = sampler.fingerprints([words(t) for t in texts])
+    for t, g in zip(texts, got, strict=True):
+        assert sum(int(a) != b for a, b in zip(g, plain_fingerprint(t, 64), strict=True)) <= 1
+
+
 def test_collision_rate_is_generalised_jaccard():
     rng = random.Random(2)
     sampler = fingerprints.Sampler(2048)
@@ -324,7 +376,7 @@ def test_top_k_is_exact(spark):
     narrow = [(i, None if v is None else [None if x is None else float(np.float32(x)) for x in v]) for i, v in rows if not (i == 300 and len(v) == 3)]
     out = sorted(map(tuple, topk.top_k(df.filter("not (vec_id = 300 and size(embedding) = 3)")).collect()))
     assert out == plain_top_k(narrow)
-    assert sorted(map(tuple, topk.top_k(df.filter("not (vec_id = 300 and size(embedding) = 3)"), block=1).collect())) == out
+    assert sorted(map(tuple, topk.top_k(df.filter("not (vec_id = 300 and size(embedding) = 3)"), query_bytes=64).collect())) == out
 
 
 def test_top_k_with_huge_components_and_without_rows(spark):
@@ -334,12 +386,37 @@ def test_top_k_with_huge_components_and_without_rows(spark):
     assert topk.top_k(df.limit(0)).count() == 0
 
 
+def test_top_k_beyond_doubles(spark):
+    """Components whose 1024-fold is no double any more; scores stop at the ends of a long."""
+    rows = [(100, [1e306, 1.0]), (200, [-1e306, 2.0]), (300, [1.7e308, 0.0]), (1, [0.0, 5.0]), (2, [1e-9, -5.0]), (3, [0.5, 0.25])]
+    out = sorted(map(tuple, topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), k=2).collect()))
+    wide = {i: [math.floor(1024 * Fraction(x)) for x in v] for i, v in rows}
+    expected = []
+    for q in (100, 200, 300):
+        scored = sorted((-max(-(2**63), min(2**63 - 1, sum(a * b for a, b in zip(wide[q], v, strict=True)))), i) for i, v in wide.items() if i != q)[:2]
+        expected += [(q, n + 1, i, -x) for n, (x, i) in enumerate(scored)]
+    assert out == sorted(expected)
+
+
 def test_bounds_hold_scores():
     rng = np.random.default_rng(0)
     x, q = np.floor(1000 * rng.normal(size=(200, 6))), np.floor(1000 * rng.normal(size=(9, 6)))
     a = topk.Approximation(x.min(axis=0), x.max(axis=0), 8)
-    lower, upper = a.bounds(a.codes(x), q)
-    assert (lower <= x @ q.T).all() and (x @ q.T <= upper).all()
+    lower = a.lower(a.codes(x), q)
+    assert (lower <= x @ q.T).all() and (x @ q.T <= lower + a.gap(q)).all()
+
+
+def test_few_exact_vectors_are_read(spark):
+    rng = np.random.default_rng(1)
+    rows = [(i, [float(v) for v in x]) for i, x in enumerate(rng.normal(size=(4000, 16)))]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(4)
+    grids = topk.grid(df)
+    cells = {16: topk.Approximation(*grids[16])}
+    vectors = topk.approximated(df, cells)
+    queries = {16: (np.array([0, 100]), np.floor(1024 * np.array([rows[0][1], rows[100][1]], np.float32).astype(np.float64)))}
+    found = topk._scan(vectors, queries, cells, 10)
+    assert 20 <= found.count() < 0.05 * 2 * len(rows)
+    assert "embedding" not in found._jdf.queryExecution().executedPlan().toString().split("ReadSchema:")[1]
 
 
 # 5 secrets
