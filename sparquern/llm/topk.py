@@ -184,11 +184,17 @@ def approximated(rows: DataFrame, cells: dict[int, Approximation]) -> DataFrame:
 
     def make():
         def work(batch):
-            codes: list[bytes | None] = []
-            for v in batch.column(2).to_pylist():
-                cell = shared.value.get(len(v))
-                codes.append(cell.codes(np.floor(SCALE * np.array([v], np.float64)))[0].tobytes() if cell else None)
-            yield {"row": batch.column(0), "vec_id": batch.column(1), "size": [len(v) for v in batch.column(2)], "codes": codes, "embedding": batch.column(2)}
+            vectors = batch.column(2)
+            sizes = np.diff(vectors.offsets.to_numpy())
+            codes: list[bytes | None] = [None] * len(sizes)
+            for n in np.unique(sizes):
+                if cell := shared.value.get(int(n)):
+                    own = np.flatnonzero(sizes == n)
+                    x = vectors.take(pa.array(own)).flatten().to_numpy().astype(np.float64).reshape(-1, n)
+                    data = cell.codes(np.floor(SCALE * x)).tobytes()
+                    for i, at in enumerate(own.tolist()):
+                        codes[at] = data[i * n : (i + 1) * n]
+            yield {"row": batch.column(0), "vec_id": batch.column(1), "size": sizes, "codes": codes, "embedding": vectors}
 
         return work
 
