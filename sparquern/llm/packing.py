@@ -44,9 +44,11 @@ class HarmonicBins:
     def put(self, document: Piece) -> list[tuple]:
         """The rows of the sequences that this document fills."""
         rows: list[tuple] = []
-        while length(document) >= self.capacity:
-            full, document = cut(document, self.capacity)
-            rows += self.closed([full])
+        doc, start, ids, tokens = document
+        whole = length(document) // self.capacity * self.capacity
+        for at in range(0, whole, self.capacity):
+            rows += self.closed([(doc, start + at, ids[4 * at : 4 * (at + self.capacity)], tokens)])
+        document = doc, start + whole, ids[4 * whole :], tokens
         n = length(document)
         if not n:
             return rows
