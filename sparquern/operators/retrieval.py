@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import math
 import re
+import string
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -61,22 +64,78 @@ def terms(text) -> Column:
     return F.regexp_extract_all(F.lower(col(text)), F.lit(r"([a-z0-9_]+)"), F.lit(1))
 
 
-def bm25(docs: DataFrame, queries: DataFrame, k: int, k1: float = 1.5, b: float = 0.75, doc_id: str = "doc_id", query_id: str = "item_id") -> DataFrame:
+def bm25(docs: DataFrame, queries: DataFrame, k: int, k1: float = 1.5, b: float = 0.75, doc_id: str = "doc_id", query_id: str = "item_id", block: int = 4096) -> DataFrame:
     """(query_id, rank, id, score): Okapi BM25 with the idf ln(1 + (N - df + 0.5) / (df + 0.5)), which is never
     negative; scores rounded to six places, ties to the smaller id.
 
-    Document terms are matched with the queries' terms before anything is shuffled for counting, so the
-    postings have only terms that are asked for.
+    Queries go in blocks of about ``block``, of which the terms are broadcast. One pass over the documents
+    counts the terms that are asked for, a second one scores each document where it lies and hands on k of a task
+    for each query; no posting is shuffled, so a common word is no hot key.
     """
-    asked = queries.select(F.col(query_id).alias("query_id"), F.explode(F.array_distinct(terms("text"))).alias("term"))
-    sized = docs.select(F.col(doc_id).alias("id"), terms("text").alias("terms")).withColumn("len", F.size("terms"))
-    n, mean = sized.agg(F.count(F.lit(1)), F.avg("len")).first()
-    postings = sized.select("id", "len", F.explode("terms").alias("term")).join(asked.select("term").distinct(), "term").groupBy("id", "len", "term").agg(F.count(F.lit(1)).alias("tf"))
-    df = postings.groupBy("term").agg(F.count(F.lit(1)).alias("df")).withColumn("idf", F.log(1 + (F.lit(float(n or 0)) - F.col("df") + 0.5) / (F.col("df") + 0.5)))
-    part = F.col("idf") * F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("len") / F.lit(float(mean or 1))))
-    scores = asked.join(postings.join(df, "term"), "term").groupBy("query_id", "id").agg(F.round(F.sum(part), 6).alias("score")).filter("score > 0")
+    asked = queries.select(F.col(query_id).cast("long").alias("query_id"), F.array_distinct(terms("text")).alias("terms")).filter("query_id is not null and size(terms) > 0")
+    rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.col("text").cast("string").alias("text"))
+    blocks = max(1, -(-asked.count() // block))
+    out = None
+    for i in range(blocks):
+        part = [(r["query_id"], r["terms"]) for r in asked.filter(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == i).collect()]
+        one = _bm25_block(rows, part, k, k1, b)
+        out = one if out is None else out.unionByName(one)
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "id"))
-    return scores.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "id", "score")
+    return out.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "id", "score")
+
+
+TERM = re.compile(r"[a-z0-9_]+", re.ASCII)
+
+
+def _bm25_block(rows: DataFrame, queries: list[tuple[int, list[str]]], k: int, k1: float, b: float) -> DataFrame:
+    spark = rows.sparkSession
+    wanted = spark.sparkContext.broadcast({t for _, ts in queries for t in ts})
+
+    def count(batches):
+        found, n, length = Counter(), 0, 0
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                own = TERM.findall((text or "").lower())
+                n, length = n + 1, length + len(own)
+                found.update(wanted.value.intersection(own))
+        yield pa.RecordBatch.from_arrays([pa.array([None, None, *found], pa.string()), pa.array([True, False, *[False] * len(found)]), pa.array([n, length, *found.values()], pa.int64())], names=["term", "docs", "n"])
+
+    sums = {(r["term"], r["docs"]): r["n"] for r in rows.select("text").mapInArrow(count, "term string, docs boolean, n long").groupBy("term", "docs").agg(F.sum("n").alias("n")).collect()}
+    n, length = sums.pop((None, True), 0), sums.pop((None, False), 0)
+    mean = length / n if n else 1.0
+    by_term: dict[str, tuple[float, list[int]]] = {t: (math.log(1 + (n - df + 0.5) / (df + 0.5)), []) for (t, _), df in sums.items()}
+    for at, (_, ts) in enumerate(queries):
+        for t in ts:
+            if t in by_term:
+                by_term[t][1].append(at)
+    index = spark.sparkContext.broadcast(({t: (idf, np.array(at)) for t, (idf, at) in by_term.items()}, np.array([q for q, _ in queries], np.int64)))
+
+    def score(batches):
+        terms_, ids = index.value
+        best: list[tuple[np.ndarray, np.ndarray]] = [(np.zeros(0, np.int64), np.zeros(0))] * len(ids)
+        for batch in batches:
+            for first in range(0, batch.num_rows, 256):
+                part = batch.slice(first, 256)
+                scores = np.zeros((part.num_rows, len(ids)))
+                for row, text in enumerate(part.column(1).to_pylist()):
+                    own = TERM.findall((text or "").lower())
+                    norm = k1 * (1 - b + b * len(own) / (mean or 1.0))
+                    for t, tf in Counter(filter(terms_.__contains__, own)).items():
+                        idf, at = terms_[t]
+                        scores[row, at] += idf * tf * (k1 + 1) / (tf + norm)
+                scores = np.round(scores, 6)
+                docs_ = part.column(0).to_numpy(zero_copy_only=False)
+                for q in range(len(ids)):
+                    near = np.flatnonzero(scores[:, q] > (best[q][1][-1] if len(best[q][1]) >= k else 0))
+                    near = np.union1d(near, np.flatnonzero(scores[:, q] == best[q][1][-1])) if len(best[q][1]) >= k else near
+                    if len(near):
+                        i, s = np.concatenate([best[q][0], docs_[near]]), np.concatenate([best[q][1], scores[near, q]])
+                        order = np.lexsort((i, -s))[:k]
+                        best[q] = i[order], s[order]
+        if len(ids):
+            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(ids, [len(x[0]) for x in best]), pa.int64()), pa.array(np.concatenate([x[0] for x in best]), pa.int64()), pa.array(np.concatenate([x[1] for x in best]), pa.float64())], names=["query_id", "id", "score"])
+
+    return rows.filter("id is not null").mapInArrow(score, "query_id long, id long, score double")
 
 
 def fused(rankings: list[DataFrame], k: int, constant: int = 60) -> DataFrame:
@@ -95,12 +154,13 @@ def distinct_by_rank(ranked: DataFrame, key: str) -> DataFrame:
     return best.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy("rank")))
 
 
-KEPT = re.compile(r"[a-z0-9]")
+def normalised(text) -> Column:
+    """Only a-z, A-Z lower-cased, and 0-9 of the text."""
+    return F.regexp_replace(F.translate(col(text), string.ascii_uppercase, string.ascii_lowercase), "[^a-z0-9]", "")
 
 
-def normalised(text) -> Column:
-    """Only a-z and 0-9 of the lower-cased text."""
-    return F.regexp_replace(F.lower(col(text)), "[^a-z0-9]", "")
+#: What normalised() makes of each ASCII code; 0 for those that go.
+PLAIN = np.array([c | 32 if chr(c) in string.ascii_uppercase else c if chr(c) in string.ascii_lowercase + string.digits else 0 for c in range(129)], np.uint8)
 
 
 def located(docs: DataFrame, passages: DataFrame, doc_id: str = "doc_id", item_id: str = "item_id", block: int = 20_000) -> DataFrame:
@@ -138,20 +198,56 @@ def _located(docs: DataFrame, patterns: list[tuple[int, str]]) -> DataFrame:
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 if not same or not text:
                     continue
-                kept = [i for i, c in enumerate(text) if KEPT.match(c.lower())]
-                flat = "".join(text[i].lower() for i in kept)
+                plain = PLAIN[np.minimum(np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4"), 128)]
+                kept = np.flatnonzero(plain)
+                flat = plain[kept].tobytes().decode("ascii")
                 seen = set()
                 for end, (n, items) in automaton.iter(flat):
                     for item in items:
                         if item not in seen:
                             seen.add(item)
-                            rows.append((item, doc, kept[end - n + 1], kept[end] + 1))
+                            rows.append((item, doc, int(kept[end - n + 1]), int(kept[end]) + 1))
             columns = list(zip(*rows, strict=True)) if rows else [[]] * 4
             yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.int32()), pa.array(columns[3], pa.int32())], names=["item_id", "doc_id", "start", "end"])
 
     return docs.mapInArrow(run, "item_id long, doc_id long, start int, end int")
 
 
+def sharing_characters(docs: DataFrame, items: DataFrame, n: int, doc_id: str = "doc_id", item_id: str = "item_id", block_chars: int = 1 << 21) -> DataFrame:
+    """(item_id, doc_id) of all pairs that share some n characters.
+
+    The items' runs of n characters go in blocks of about ``block_chars`` of them, each broadcast once; every document is
+    held against a block where it lies. Items without n characters share nothing.
+    """
+    asked = items.select(F.col(item_id).cast("long").alias("item"), F.col("text").cast("string").alias("text")).filter(F.length("text") >= n)
+    total = asked.agg(F.sum(F.length("text"))).first()[0] or 0
+    blocks = max(1, -(-total // block_chars))
+    out = None
+    for i in range(blocks):
+        grams: dict[str, list[int]] = {}
+        for r in asked.filter(F.pmod(F.xxhash64("item"), F.lit(blocks)) == i).collect():
+            for g in {r["text"][j : j + n] for j in range(len(r["text"]) - n + 1)}:
+                grams.setdefault(g, []).append(r["item"])
+        one = _sharing(docs.select(F.col(doc_id).cast("long"), F.col("text").cast("string")), grams, n)
+        out = one if out is None else out.unionByName(one)
+    return out.distinct()
+
+
+def _sharing(docs: DataFrame, grams: dict[str, list[int]], n: int) -> DataFrame:
+    shared = docs.sparkSession.sparkContext.broadcast(grams)
+
+    def run(batches):
+        known = shared.value.keys()
+        for batch in batches:
+            rows = []
+            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                own = known & {text[j : j + n] for j in range(len(text) - n + 1)} if text else ()
+                rows += [(item, doc) for item in {i for g in own for i in shared.value[g]}]
+            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64())], names=["item_id", "doc_id"])
+
+    return docs.mapInArrow(run, "item_id long, doc_id long")
+
+
 def context_text(chunks: Column, sources: Column) -> Column:
     """Retrieved chunks one below the other, then their sources, each once, in order."""
     return F.concat(F.array_join(chunks, "\n\n"), F.lit("\n\nSources: "), F.array_join(F.array_distinct(sources), ", "))

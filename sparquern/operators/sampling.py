@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import hash_ratio
+from .keys import ordinals
 
 SEED = 1048596
 
@@ -20,15 +21,15 @@ def hash_subset(df: DataFrame, k: int, text: str = "text", tie: str = "doc_id",
 
 
 def hash_split(df: DataFrame, sizes: dict[str, int], text: str = "text", tie: str = "doc_id") -> DataFrame:
-    """Consecutive slices of the hash order with their names in ``split``; rows beyond them are left out."""
-    total = sum(sizes.values())
-    top = df.withColumn("_h", F.md5(F.col(text).cast("binary"))).orderBy("_h", tie).limit(total)
-    rank = F.row_number().over(Window.orderBy("_h", tie)) - 1
+    """Consecutive slices of the hash order with their names in ``split``; rows beyond them are left out.
+
+    Rows are numbered by range partitions, so slices of any size are sorted in parallel."""
+    ranked = ordinals(df.withColumn("_h", F.md5(F.col(text).cast("binary"))), "_h", tie, name="_r").filter(F.col("_r") < sum(sizes.values()))
     name, at = F.lit(None).cast("string"), 0
     for split, n in sizes.items():
         name = F.when((F.col("_r") >= at) & (F.col("_r") < at + n), split).otherwise(name)
         at += n
-    return top.withColumn("_r", rank).withColumn("split", name).drop("_h", "_r")
+    return ranked.withColumn("split", name).drop("_h", "_r")
 
 
 def bernoulli(df: DataFrame, key: str, p: float, name: str = "chosen") -> DataFrame:
@@ -49,7 +50,9 @@ def round_robin(items: DataFrame, key: str, rounds: int, seed: int = SEED) -> Da
     """Each item once a round, the rounds in order, each in its own hash order: round, place, key."""
     rows = items.select(key, F.explode(F.sequence(F.lit(0), F.lit(rounds - 1))).alias("round"))
     order = F.md5(F.concat_ws("|", F.lit(str(seed)), "round", F.col(key).cast("string")))
-    return rows.withColumn("place", F.row_number().over(Window.partitionBy("round").orderBy(order, key)) - 1)
+    placed = ordinals(rows.withColumn("_h", order), "round", "_h", key, name="_at")
+    each = placed.filter("round = 0").count()
+    return placed.select(key, "round", (F.col("_at") - F.col("round") * F.lit(each)).cast("int").alias("place"))
 
 
 def negatives(df: DataFrame, key: str, n: int, seed: int = SEED) -> DataFrame:
@@ -57,8 +60,6 @@ def negatives(df: DataFrame, key: str, n: int, seed: int = SEED) -> DataFrame:
 
     Rows stand in the order of their hash on a ring; the others are the n that follow a row there.
     """
-    from .keys import ordinals
-
     ring = ordinals(df.select(key).withColumn("_h", F.md5(F.concat(F.lit(str(seed)), F.col(key).cast("string")).cast("binary"))), "_h", key, name="_at")
     total = ring.count()
     wanted = ring.select(F.col(key).alias("_own"), F.explode(F.sequence(F.lit(1), F.lit(n))).alias("step"), "_at").withColumn("_at", F.pmod(F.col("_at") + F.col("step"), F.lit(max(total, 1))))
