@@ -11,7 +11,7 @@ from .text import after_first, col, hash_ratio, strip
 TO_SHAREGPT = {"user": "human", "assistant": "gpt", "system": "system"}
 TO_OPENAI = {"human": "user", "gpt": "assistant", "system": "system"}
 CHATML = {"system": ("<|im_start|>system\n", "<|im_end|>\n"), "user": ("<|im_start|>user\n", "<|im_end|>\n"), "assistant": ("<|im_start|>assistant\n", "<|im_end|>\n")}
-ATK = {"system": ("Instruction: ", " **Finished.**\n"), "user": ("Human: ", " **Finished.**\n"), "assistant": ("AI: ", " **Finished.**\n")}
+LABELLED = {"system": ("Instruction: ", " **Finished.**\n"), "user": ("Human: ", " **Finished.**\n"), "assistant": ("AI: ", " **Finished.**\n")}
 
 
 def turn(sender: Column, value: Column) -> Column:

@@ -199,7 +199,7 @@ def complete_dataset(docs: DataFrame, engine: Engine = RULES, s: Settings = Sett
     completion text, cut to a token budget."""
     qa = single_source_qa(docs, engine, s)
     talks = qa["groups"].withColumn("conversations", C.system_added("conversations", instruction))
-    texts = talks.select(F.col("pack_id").alias("row_key"), C.rendered_preset("conversations", C.ATK).alias("text"))
+    texts = talks.select(F.col("pack_id").alias("row_key"), C.rendered_preset("conversations", C.LABELLED).alias("text"))
     corpus = representation_variation(docs, engine, s).select(F.concat_ws("#", "row_key", F.col("part").cast("string")).alias("row_key"), "text")
     all_ = stored(corpus.unionByName(texts).withColumn("n_tokens", T.token_count("text")), "complete")
     chosen = chunking.budget_prefix(all_, F.md5(F.col("text").cast("binary")), "n_tokens", budget, tie="row_key")

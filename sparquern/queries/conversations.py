@@ -97,8 +97,8 @@ def render_chatml(spark, sf_dir):
 
 
 @query(TURNS_SQL + f"""SELECT conv_id, {STRIP.format('''string_agg(CASE sender WHEN 'system' THEN 'Instruction: ' WHEN 'human' THEN 'Human: ' ELSE 'AI: ' END || text || ' **Finished.**' || chr(10), '' ORDER BY i)''')} AS text FROM s GROUP BY conv_id""")
-def render_atk(spark, sf_dir):
-    return _conv(spark, sf_dir).select("conv_id", C.rendered_preset("conversations", C.ATK).alias("text"))
+def render_labelled(spark, sf_dir):
+    return _conv(spark, sf_dir).select("conv_id", C.rendered_preset("conversations", C.LABELLED).alias("text"))
 
 
 @query(TURNS_SQL + """SELECT conv_id, max(CASE WHEN sys = 1 AND i = 0 THEN 'Answer well.' || chr(10) || text WHEN sys = 0 AND i = 0 THEN 'Answer well.' END) AS system, count(*) + 1 - max(sys) AS n_turns FROM s GROUP BY conv_id""")

@@ -145,10 +145,10 @@ def story_tiers(spark, sf_dir):
     return table(spark, sf_dir, "labels").select("doc_id", V.story_ok(ratings).alias("ok"), V.story_ok(ratings, ("incredible",)).alias("best"))
 
 
-@query("""SELECT conv_id, CASE WHEN count(*) FILTER (WHERE role = 'assistant') >= ceil(count(*) FILTER (WHERE role = 'user') / 2.0) AND count(*) FILTER (WHERE role = 'assistant') > 0 THEN 'Nyx' END AS speaker
+@query("""SELECT conv_id, CASE WHEN count(*) FILTER (WHERE role = 'assistant') >= ceil(count(*) FILTER (WHERE role = 'user') / 2.0) AND count(*) FILTER (WHERE role = 'assistant') > 0 THEN 'Mirela' END AS speaker
 FROM conversations GROUP BY conv_id""")
 def speaker_inference(spark, sf_dir):
-    line = F.when(F.col("role") == "user", F.lit("{user}: hello")).when(F.col("role") == "assistant", F.lit("Lorekeeper Nyx (calm): well")).otherwise(F.lit("no speaker"))
+    line = F.when(F.col("role") == "user", F.lit("{user}: hello")).when(F.col("role") == "assistant", F.lit("Captain Mirela (calm): well")).otherwise(F.lit("no speaker"))
     texts = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("turn", line.alias("line")))), lambda x: x["line"]), "\n").alias("text"))
     return Q.main_speaker(texts, "conv_id", "text")
 

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sparquern.functions import text as T
-from sparquern.operators import chunking, keys, parsers, quality, sampling
+from sparquern.operators import chunking, keys, parsers, quality, retrieval, sampling
 from sparquern.operators.steps import RuleEngine, Step, cached_reply, call_log, depth_first, one_to_many, render, varied, voted
 from sparquern.plans import pipelines as P
 from sparquern.sources import readers, sinks
@@ -125,14 +125,14 @@ def test_sections(text, headings, want, spark):
 
 
 def test_story_parsers():
-    chat = parsers.chat_messages("Nyx: hello\nmore\n{user}: hi\nNyx: hello\nmore\nNyx: again", "Nyx")
-    assert [m["owner"] for m in chat] == ["Nyx", "{user}", "Nyx", "Nyx"] and chat[0]["content"] == "hello\nmore"
+    chat = parsers.chat_messages("Mirela: hello\nmore\n{user}: hi\nMirela: hello\nmore\nMirela: again", "Mirela")
+    assert [m["owner"] for m in chat] == ["Mirela", "{user}", "Mirela", "Mirela"] and chat[0]["content"] == "hello\nmore"
     assert len(parsers.tidy_story(chat, 50)) == 3
     assert parsers.ratings("Coherence\nRating: Good.", ["Coherence"]) == {"coherence": "good"}
     with pytest.raises(ValueError):
         parsers.ratings("Coherence\nRating: fine", ["Coherence"])
-    card = parsers.scene_card("**Name:** Nyx\nPersonality:\n- calm\n- dry\nScene: a cave\nEND OF CARD\nName: no")
-    assert card["Name"] == "Nyx" and card["Personality"] == ["calm", "dry"] and card["Likes"] is None and parsers.scene_card(parsers.card_text(card)) == card
+    card = parsers.scene_card("**Name:** Mirela\nPersonality:\n- calm\n- dry\nScene: a cave\nEND OF CARD\nName: no")
+    assert card["Name"] == "Mirela" and card["Personality"] == ["calm", "dry"] and card["Likes"] is None and parsers.scene_card(parsers.card_text(card)) == card
     talk = "**User:** What is it?\n**AI Assistant:** It is a thing of note.\n"
     assert parsers.dialogue(talk) == [("What is it?", "It is a thing of note.")] and parsers.faithful_dialogue(talk, [("What is it?", "It is a thing of note.")])
     assert parsers.clustered_repeats("abcabcabc xyz", 3, 2, 20) and not parsers.clustered_repeats("abc" + "".join(map(chr, range(200, 240))) + "abc", 3, 1, 20)
@@ -150,7 +150,7 @@ def test_text_functions(spark):
     df = spark.createDataFrame([("they're an x-ray",)], "t string")
     one = lambda c: df.select(c.alias("x")).first()["x"]
     assert one(T.title_case("t")) == "They'Re An X-Ray"
-    assert one(T.base_name(F.lit("Queen Scarlet III"))) == "Scarlet" and one(T.readable_size(F.lit(2048))) == "2.00 KB"
+    assert one(T.base_name(F.lit("Queen Odrun III"))) == "Odrun" and one(T.readable_size(F.lit(2048))) == "2.00 KB"
     assert one(T.json_escaped(F.lit('a"b\n'))) == 'a\\"b\\n' and one(T.quotes_escaped(F.lit('a"b'))) == 'a\\"b'
     assert one(T.boolean(F.lit(" Yes "))) is True and one(T.boolean(F.lit("maybe"))) is None
     assert one(T.numeric_rating(F.lit("<rating>9</rating>"))) == (None, False)
@@ -167,6 +167,74 @@ def test_readable_size_of_all_documents(spark, tmp_path):
     assert found == {0: "10.00 B", 1: "1.00 KB", 2: "1024.00 KB", 3: "1.00 MB", 4: "2.50 MB", 5: "3.00 GB"}
 
 
+def test_doubled_runs_equal_the_pattern():
+    import random
+    import re
+
+    rng = random.Random(2)
+    for least in (1, 2, 3, 8):
+        pattern = re.compile(r"(.{%d,}?)\1" % least)
+        for _ in range(600):
+            text = "".join(rng.choices("ab\né" if least < 8 else "abcdé\n", k=rng.randint(0, 40)))
+            if rng.random() < 0.5:
+                own = "".join(rng.choices("abcdefé ", k=rng.randint(1, 14)))
+                text = text[:9] + own * 2 + text[9:]
+            assert T.doubled(text, least) == bool(pattern.search(text)), (text, least)
+    long = "".join(rng.choices("abcdefgh ", k=120_000))
+    assert not T.doubled(long, 12) and T.doubled(long + long, 12)
+
+
+def test_located_maps_offsets_of_any_letters(spark):
+    docs = spark.createDataFrame([(1, "İabc"), (2, "İİ x A-b.C ß"), (3, None), (4, "")], "doc_id long, text string")
+    out = retrieval.located(docs, spark.createDataFrame([(9, "abc"), (8, "  "), (7, None)], "item_id long, text string")).collect()
+    assert sorted(map(tuple, out)) == [(9, 1, 1, 4), (9, 2, 5, 10)]
+
+
+def test_bm25_equals_plain_scores(spark):
+    import math
+    import random
+    from collections import Counter
+
+    rng = random.Random(4)
+    texts = [" ".join(rng.choices(["red", "Blue", "green", "x1", "y_2", "the"], [1, 2, 3, 1, 1, 20], k=rng.randint(0, 30))) for _ in range(80)]
+    queries = ["the red", "blue blue GREEN", "nothing", "", "x1 y_2 the"]
+    docs = spark.createDataFrame(list(enumerate(texts)) + [(None, "red"), (90, None)], "doc_id long, text string").repartition(3)
+    asked = spark.createDataFrame(list(enumerate(queries)), "item_id long, text string")
+    out = sorted(map(tuple, retrieval.bm25(docs, asked, 5, block=2).collect()))
+    tokens = [t.lower().split() for t in [*texts, "red", ""]]
+    n, mean = len(tokens), sum(map(len, tokens)) / len(tokens)
+    df, want = Counter(w for t in tokens for w in set(t)), []
+    for q, text in enumerate(queries):
+        scores = []
+        for i, t in [*enumerate(tokens[:80]), (90, [])]:
+            tf = Counter(t)
+            s = sum(math.log(1 + (n - df[w] + 0.5) / (df[w] + 0.5)) * tf[w] * 2.5 / (tf[w] + 1.5 * (0.25 + 0.75 * len(t) / mean)) for w in set(text.lower().split()) if tf[w])
+            scores.append((-round(s, 6), i))
+        want += [(q, r + 1, i, -s) for r, (s, i) in enumerate(sorted(x for x in scores if x[0])[:5])]
+    assert [o[:3] for o in out] == [w[:3] for w in sorted(want)] and all(abs(a[3] - b[3]) < 2e-6 for a, b in zip(out, sorted(want), strict=True))
+
+
+def test_sharing_characters(spark):
+    docs = spark.createDataFrame([(1, "abcdefgh"), (2, "xxcdefxx"), (3, None), (4, "abc")], "doc_id long, text string")
+    items = spark.createDataFrame([(7, "zzcdefzz"), (8, "abcd"), (9, "abc"), (6, None)], "item_id long, text string")
+    for chars in (4, 1000):
+        assert sorted(map(tuple, retrieval.sharing_characters(docs, items, 4, block_chars=chars).collect())) == [(7, 1), (7, 2), (8, 1)]
+
+
+def test_cases_of_any_letters(spark):
+    texts = ["straße über ñandú", "", "Éa b", "a  b\tc"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    cap = lambda w: w[:1].upper() + w[1:].lower()
+    names = ["pascal", "alternating", "invert", "random", lambda t, _: F.reverse(t)]
+    names[4].__name__ = "backwards"
+    out = {r["doc_id"]: {v["variation"]: v["text"] for v in r["v"]} for r in df.select("doc_id", T.case_variations("text", names).alias("v")).collect()}
+    for i, t in enumerate(texts):
+        assert out[i]["pascal"] == "".join(map(cap, t.split())) and out[i]["backwards"] == t[::-1]
+        assert out[i]["alternating"] == "".join(c.lower() if j % 2 == 0 else c.upper() for j, c in enumerate(t))
+        assert out[i]["invert"] == "".join(c.lower() if c == c.upper() else c.upper() for c in t)
+        assert out[i]["random"].lower().replace("ss", "ß") == t.lower()
+
+
 def test_metrics_of_nothing(spark):
     empty = spark.createDataFrame([], "a int, b int")
     assert tuple(quality.accuracy(empty, "a", "b").first()) == (0, None)
