@@ -20,24 +20,26 @@ def pieces(text, most: int, paragraph: str = PARAGRAPH, sentence: str = SENTENCE
     return F.filter(F.flatten(F.transform(whole, lambda p: F.when(token_count(p) <= most, F.array(p)).otherwise(F.transform(F.split(p, sentence), strip)))), lambda p: p != "")
 
 
-def packed_pieces(items: Column, most: int) -> Column:
-    """Array of chunks: a piece joins the current chunk while the sum of tokens fits, else it starts the next one."""
-    start = F.struct(F.array().cast("array<string>").alias("done"), F.lit(None).cast("string").alias("cur"), F.lit(0).cast("long").alias("n"))
+def chunk_starts(items: Column, most: int) -> Column:
+    """Where chunks begin: a piece joins the current chunk while the sum of tokens fits, else it starts the next one.
+    Only counts are folded, and the list of starts grows by one a chunk."""
+    start = F.struct(F.lit(0).cast("long").alias("n"), F.array().cast("array<int>").alias("starts"))
 
     def step(s, p):
-        n = token_count(p)
-        fits = s["cur"].isNotNull() & (s["n"] + n <= most)
-        done = F.when(fits | s["cur"].isNull(), s["done"]).otherwise(F.concat(s["done"], F.array(s["cur"])))
-        return F.struct(done.alias("done"), F.when(fits, F.concat(s["cur"], F.lit(" "), p)).otherwise(p).alias("cur"), (F.when(fits, s["n"]).otherwise(0) + n).alias("n"))
+        fits = (F.size(s["starts"]) > 0) & (s["n"] + p["n"] <= most)
+        return F.struct((F.when(fits, s["n"]).otherwise(0) + p["n"]).alias("n"), F.when(fits, s["starts"]).otherwise(F.concat(s["starts"], F.array(p["i"]))).alias("starts"))
 
-    return F.aggregate(items, start, step, lambda s: F.when(s["cur"].isNull(), s["done"]).otherwise(F.concat(s["done"], F.array(s["cur"]))))
+    return F.aggregate(F.transform(items, lambda p, i: F.struct(token_count(p).alias("n"), i.alias("i"))), start, step, lambda s: s["starts"])
 
 
 def chunked(df: DataFrame, most: int, paragraph: str = PARAGRAPH, sentence: str = SENTENCE, least_chars: int = LEAST_CHARS) -> DataFrame:
     """One row a chunk of at least ``least_chars`` characters: df's other columns, chunk_idx, text, n_tokens."""
-    chunks = F.filter(packed_pieces(pieces("text", most, paragraph, sentence), most), lambda c: F.length(c) >= least_chars)
     rest = [c for c in df.columns if c != "text"]
-    return df.select(*rest, F.posexplode(chunks).alias("chunk_idx", "text")).withColumn("n_tokens", token_count("text"))
+    rows = df.select(*rest, pieces("text", most, paragraph, sentence).alias("_pieces"))
+    rows = rows.withColumn("_starts", chunk_starts(F.col("_pieces"), most))
+    end = lambda j: F.coalesce(F.get("_starts", j + 1), F.size("_pieces"))
+    chunks = F.filter(F.transform("_starts", lambda at, j: F.array_join(F.slice("_pieces", at + 1, end(j) - at), " ")), lambda c: F.length(c) >= least_chars)
+    return rows.select(*rest, F.posexplode(chunks).alias("chunk_idx", "text")).withColumn("n_tokens", token_count("text"))
 
 
 def character_chunks(text: str, size: int) -> Iterator[str]:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from sparquern.functions import text as T
 from sparquern.operators import chunking, keys, parsers, quality, retrieval, sampling
-from sparquern.operators.steps import RuleEngine, Step, cached_reply, call_log, depth_first, one_to_many, render, varied, voted
+from sparquern.operators.steps import HttpEngine, RuleEngine, Step, cached_reply, call_log, depth_first, load_prompt, one_to_many, render, varied, voted
 from sparquern.plans import pipelines as P
 from sparquern.sources import readers, sinks
 from sparquern.streaming import ingest
@@ -54,6 +54,81 @@ def test_one_to_many(rows):
     assert all(r["row_key"].startswith(f"{r['parent_key']}-{r['child_idx']}-") and r["text"] for r in out)
 
 
+class Sleeping:
+    """An engine that takes its time, and knows how many calls were with it at once."""
+
+    now = most = 0
+
+    def complete(self, prompt):
+        import threading
+        import time
+
+        lock = Sleeping.__dict__.get("lock") or threading.Lock()
+        Sleeping.lock = lock
+        with lock:
+            Sleeping.now += 1
+            Sleeping.most = max(Sleeping.most, Sleeping.now)
+        time.sleep(1.5 if "late" in prompt else 0.05)
+        with lock:
+            Sleeping.now -= 1
+        return prompt
+
+
+def test_calls_in_flight_and_late_ones():
+    import time
+
+    step = Step("s", "{t}", "r", Sleeping(), concurrent=8)
+    began = time.monotonic()
+    assert [v for _, v, _ in step.calls([{"t": str(i)} for i in range(64)])] == [str(i) for i in range(64)]
+    assert 4 <= Sleeping.most <= 8 and time.monotonic() - began < 64 * 0.05 / 2
+    step = Step("s", "{t}", "r", Sleeping(), concurrent=2, timeout=0.4)
+    done = [v for _, v, _ in step.calls([{"t": t} for t in ("a", "late", "late", "late", "b", "c")])]
+    assert done == ["a", None, None, None, "b", "c"]
+    assert list(step.calls([])) == []
+
+
+def test_steps_run_concurrently_in_spark(rows, spark):
+    done = spark.sparkContext.accumulator(0)
+    step = Step("s", [{"role": "system", "content": "be brief"}, {"role": "user", "content": "{text}"}], "r", RuleEngine([("second", "2")], "1"), concurrent=4)
+    out = step.over(rows, details=True, progress=done).collect()
+    assert {r["row_key"]: r["r"] for r in out} == {"k0": "1", "k1": "2", "k2": "1"} and done.value == 3
+    first = out[0]["s_details"][0]
+    assert not first["completion_mode"] and [m["role"] for m in first["input_messages"]] == ["system", "user"]
+
+
+def test_http_engine_and_prompt_files(tmp_path):
+    import threading
+    from http.server import BaseHTTPRequestHandler, HTTPServer
+
+    class Handler(BaseHTTPRequestHandler):
+        def do_POST(self):
+            body = json.loads(self.rfile.read(int(self.headers["Content-Length"])))
+            assert body["model"] == "m" and body["stop"] == ["\n\n"] and body["top_p"] == 0.9
+            answer = {"message": {"content": body["messages"][-1]["content"] + "!"}} if self.path.endswith("chat/completions") else {"text": body["prompt"] + "."}
+            data = json.dumps({"choices": [answer]}).encode()
+            self.send_response(200)
+            self.send_header("Content-Length", str(len(data)))
+            self.end_headers()
+            self.wfile.write(data)
+
+        def log_message(self, *_):
+            pass
+
+    server = HTTPServer(("127.0.0.1", 0), Handler)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    engine = HttpEngine(f"http://127.0.0.1:{server.server_port}/v1", "m", parameters={"top_p": 0.9}, stop=("\n\n",))
+    (tmp_path / "own").mkdir()
+    (tmp_path / "default").mkdir()
+    (tmp_path / "default" / "a.txt").write_text("default {x}")
+    (tmp_path / "own" / "a.yaml").write_text("- role: user\n  content: own {x}\n")
+    folders = [str(tmp_path / "own"), str(tmp_path / "default")]
+    assert Step("s", load_prompt("a", folders), "r", engine).call({"x": 1})[1] == "own 1!"
+    assert Step("s", load_prompt("a", folders[1:]), "r", engine).call({"x": 1})[1] == "default 1."
+    with pytest.raises(FileNotFoundError):
+        load_prompt("b", folders)
+    server.shutdown()
+
+
 def test_votes(rows, spark):
     yes = Step("v", "{vote_idx} {text}", "v", RuleEngine([("^[01] .*first", "true"), ("mountains", "true"), ("", "false")]), lambda r: r == "true", "boolean")
     assert {r["row_key"] for r in voted(yes, rows, 4).collect()} == {"k0", "k1"}  # a tie passes
