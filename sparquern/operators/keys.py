@@ -57,3 +57,28 @@ def not_done(rows: DataFrame, done: DataFrame, key: str) -> DataFrame:
 def not_expanded(parents: DataFrame, kids: DataFrame, key: str, parent_key: str = "parent_key") -> DataFrame:
     """Parents without any child."""
     return parents.join(kids.select(F.col(parent_key).alias(key)).distinct(), key, "left_anti")
+
+
+def united(frames: list[DataFrame], *key: str) -> DataFrame:
+    """All rows of the frames, of which rows of one key come once, from the first frame that has it. Frames may number their
+    rows alike; what tells rows apart is the key, so nothing is overwritten."""
+    from .quality import first_by
+
+    all_ = None
+    for i, df in enumerate(frames):
+        one = df.withColumn("_frame", F.lit(i))
+        all_ = one if all_ is None else all_.unionByName(one)
+    rest = [c for c in frames[0].columns if c not in key]
+    return first_by(all_, [F.col(k) for k in key], "_frame", *rest).drop("_frame")
+
+
+def collected_by(df: DataFrame, index: str, order: str, *values: str) -> DataFrame:
+    """One row an index with ``outputs``: the values of all runs in their order."""
+    return df.groupBy(index).agg(F.array_sort(F.collect_list(F.struct(order, *values))).alias("outputs"))
+
+
+def questions_by_text(df: DataFrame, paragraph: str, question: str, answer: str, order: str) -> DataFrame:
+    """One row a paragraph with its questions and answers as one text, in order."""
+    block = lambda x: F.concat(F.lit("**QUESTION:**\n"), x[question], F.lit("\n\n**ANSWER:**\n"), x[answer], F.lit("\n"))
+    grouped = df.groupBy(paragraph).agg(F.array_sort(F.collect_list(F.struct(order, question, answer))).alias("_qa"))
+    return grouped.select(paragraph, F.array_join(F.transform("_qa", block), "\n\n").alias("question_answer_pairs"))

@@ -72,6 +72,22 @@ def ratings(text: str, names: list[str]) -> dict[str, str]:
     return {n: v.lower().rstrip(".") for n, v in out.items()}
 
 
+def ratings_column(text: Column | str, names: list[str]) -> Column:
+    """ratings() of a column; null where one is missing or unknown."""
+
+    @F.pandas_udf("map<string,string>")
+    def parse(texts: pd.Series) -> pd.Series:
+        def one(t):
+            try:
+                return ratings(t or "", names)
+            except ValueError:
+                return None
+
+        return texts.map(one)
+
+    return parse(text)
+
+
 def chat_messages(text: str, character: str) -> list[dict[str, str]]:
     """Messages of the character, {user} and {narrator}: each begins with its owner and a colon and goes on until the next."""
     owners = (character, "{user}", "{narrator}")
@@ -85,6 +101,16 @@ def chat_messages(text: str, character: str) -> list[dict[str, str]]:
     return [{"owner": m["owner"], "content": m["content"].strip()} for m in out]
 
 
+def chat_column(text: Column | str, character: Column | str) -> Column:
+    """chat_messages() of a column."""
+
+    @F.pandas_udf("array<struct<owner:string,content:string>>")
+    def parse(texts: pd.Series, names: pd.Series) -> pd.Series:
+        return pd.Series([None if t is None else chat_messages(t, n or "") for t, n in zip(texts, names, strict=True)], dtype=object)
+
+    return parse(text, character)
+
+
 def tidy_story(messages: list[dict[str, str]], longest: int, count=lambda t: len(t.split())) -> list[dict[str, str]]:
     """Cut after the first message that repeats an earlier one of its owner, before the first that is too long, and at a closing note."""
     seen: set[tuple[str, str]] = set()
@@ -127,6 +153,16 @@ def scene_card(text: str) -> dict[str, str | list[str] | None]:
     return card
 
 
+def card_column(text: Column | str) -> Column:
+    """scene_card() of a column: MAP heading -> lines, without the headings that are missing."""
+
+    @F.pandas_udf("map<string,array<string>>")
+    def parse(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: None if t is None else {h: v if isinstance(v, list) else [v] for h, v in scene_card(t).items() if v is not None})
+
+    return parse(text)
+
+
 def card_text(card: dict[str, str | list[str] | None]) -> str:
     shown = lambda v: "\n" + "\n".join(f"- {x}" for x in v) if isinstance(v, list) else f" {v}"
     return "\n".join(f"{h}:{shown(card[h])}" for h in CARD if card.get(h))
@@ -138,13 +174,52 @@ def dialogue(text: str) -> list[tuple[str, str]]:
     return [(a[1].strip(), b[1].strip()) for a, b in zip(turns, turns[1:], strict=False) if a[0] == "User" and b[0] == "AI Assistant"]
 
 
-def faithful_dialogue(text: str, pairs: list[tuple[str, str]], n: int = 15) -> bool:
-    """Whether a chat keeps to its questions and answers: long enough, and in each turn some n characters of its own pair."""
-    turns = dialogue(text)
-    if len(turns) < len(pairs):
-        return False
-    shares = lambda a, b: len(a) < n or any(a[i : i + n] in b for i in range(len(a) - n + 1))
-    return all(shares(q, t[0]) and shares(a, t[1]) for (q, a), t in zip(pairs, turns, strict=False))
+def shared_run(a: str, b: str, n: int) -> str | None:
+    """The first n characters in a row of a that stand in b; a whole if it is shorter and stands there; else null."""
+    if len(a) < n:
+        return a if a in b else None
+    return next((a[i : i + n] for i in range(len(a) - n + 1) if a[i : i + n] in b), None)
+
+
+Turns = list[tuple[str, str]]  # speaker, text
+
+
+def answers_kept(turns: Turns, pairs: list[tuple[str, str]], n: int) -> bool:
+    """Whether each answer has n characters of its own pair's, from the second turn on, or from the fourth after a greeting."""
+    own = lambda first: [(pairs[(i - first) // 2][1], turns[i][1]) for i in range(first, len(turns), 2) if (i - first) // 2 < len(pairs)]
+    return any(all(shared_run(a, t, n) is not None for a, t in own(first)) for first in (1, 3))
+
+
+def long_enough(turns: Turns, pairs: list[tuple[str, str]]) -> bool:
+    return len(turns) >= 2 * len(pairs)
+
+
+def questions_kept(turns: Turns, pairs: list[tuple[str, str]], n: int) -> bool | None:
+    """Whether each question has n characters of its own pair's, from the first turn on, or from the third after a
+    greeting; None where it is the first question that has none."""
+    own = lambda first: [(pairs[(i - first) // 2][0], turns[i][1]) for i in range(first, len(turns), 2) if (i - first) // 2 < len(pairs)]
+    if any(all(shared_run(q, t, n) is not None for q, t in own(first)) for first in (0, 2)):
+        return True
+    return None if len(turns) >= 2 and pairs and shared_run(pairs[0][0], turns[0][1], n) is None else False
+
+
+def no_foreign_quotes(turns: Turns, pairs: list[tuple[str, str]], n: int) -> bool:
+    """Whether no answer (each second turn from the third on) has n characters of another pair's answer that its own lacks."""
+    for i in range(2, len(turns), 2):
+        if i // 2 - 1 >= len(pairs):
+            break
+        own = pairs[i // 2 - 1][1]
+        for _, other in pairs:
+            if other != own and (run := shared_run(other, turns[i][1], n)) is not None and run not in own:
+                return False
+    return True
+
+
+def faithful_dialogue(text: str, pairs: list[tuple[str, str]], n: int = 15, quote: int = 100) -> bool:
+    """Whether a chat keeps to its questions and answers: long enough, own answers and questions, no long foreign quotes.
+    A chat that lacks only its first question passes."""
+    turns = [x for q, a in dialogue(text) for x in (("User", q), ("AI Assistant", a))]
+    return long_enough(turns, pairs) and answers_kept(turns, pairs, n) and questions_kept(turns, pairs, n) is not False and no_foreign_quotes(turns, pairs, quote)
 
 
 def similarity(a: Column | str, b: Column | str) -> Column:

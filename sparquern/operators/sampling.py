@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -64,3 +66,36 @@ def negatives(df: DataFrame, key: str, n: int, seed: int = SEED) -> DataFrame:
     total = ring.count()
     wanted = ring.select(F.col(key).alias("_own"), F.explode(F.sequence(F.lit(1), F.lit(n))).alias("step"), "_at").withColumn("_at", F.pmod(F.col("_at") + F.col("step"), F.lit(max(total, 1))))
     return wanted.join(ring.select("_at", F.col(key).alias("other")), "_at").filter(F.col("_own") != F.col("other")).select(F.col("_own").alias(key), "step", "other")
+
+
+def json_order(df: DataFrame, prompt: str, tie: str, k: int | None = None) -> DataFrame:
+    """Rows in the order of the sha256 of the prompt's JSON, numbered in ``place``: a repeatable shuffle; the first k only, if given."""
+    hashed = df.withColumn("_h", F.sha2(F.to_json(prompt), 256))
+    if k is not None:
+        hashed = hashed.orderBy("_h", tie).limit(k)
+    return ordinals(hashed, "_h", tie, name="place").drop("_h")
+
+
+def other_group(df: DataFrame, group: str, order: str, text: str, seed: int = SEED) -> DataFrame:
+    """For each group another group and its first text: the one that follows it on a ring of hashes; none for a single group."""
+    first = df.groupBy(group).agg(F.min_by(text, order).alias("text"))
+    ring = ordinals(first.withColumn("_h", F.md5(F.concat(F.lit(str(seed)), F.col(group).cast("string")).cast("binary"))), "_h", group, name="_at")
+    total = ring.count()
+    after = ring.select(F.pmod(F.col("_at") - 1, F.lit(max(total, 1))).alias("_at"), F.col(group).alias("other"), F.col("text").alias("other_text"))
+    return ring.select(group, "_at").join(after, "_at").filter(F.col(group) != F.col("other")).drop("_at")
+
+
+def trait_sets(spark, matrix: list[list[str]], k: int | None = None, seed: int = SEED) -> DataFrame:
+    """(combination, traits): one trait of each row of the matrix in every combination, by their product's digits; or k of
+    them chosen by hash. Blank traits leave no line."""
+    total = reduce(lambda a, b: a * b, map(len, matrix), 1)
+    rows, lines, step = spark.range(total).select(F.col("id").alias("combination")), [], total
+    for own in matrix:
+        step //= len(own)
+        at = F.pmod(F.floor(F.col("combination") / step), F.lit(len(own))).cast("int")
+        lines.append(F.get(F.array(*[F.lit(t) for t in own]), at))
+    text = F.replace(F.regexp_replace(F.concat_ws("\n", *lines), r"^\s+|\s+$", ""), F.lit("\n\n"), F.lit("\n"))
+    out = rows.select("combination", text.alias("traits"))
+    if k is None:
+        return out
+    return out.orderBy(F.md5(F.concat(F.lit(f"{seed}|"), F.col("combination").cast("string"))), "combination").limit(k)

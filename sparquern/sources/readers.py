@@ -129,10 +129,86 @@ def checkpoint_or_none(spark: SparkSession, path: str) -> DataFrame | None:
 
 
 def vector_index(rows: DataFrame, path: str) -> DataFrame:
-    """The index table at ``path`` if it has as many rows as there are non-blank chunks, else built anew there."""
+    """The index table at ``path`` if it was made of just these non-blank chunks, else built anew there. The number and the
+    sum of hashes of whole rows say so, so a changed text makes a new index."""
     spark = rows.sparkSession
     chunks = rows.filter(F.trim(F.coalesce("text", F.lit(""))) != "")
+    mark = lambda df: df.agg(F.count(F.lit(1)), F.sum(F.xxhash64(*sorted(df.columns)).cast("decimal(38,0)"))).first()
     old = checkpoint_or_none(spark, path)
-    if old is None or old.count() != chunks.count():
+    if old is None or sorted(old.columns) != sorted(chunks.columns) or mark(old) != mark(chunks):
         chunks.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def cached(df: DataFrame, folder: str, name: str, settings: dict) -> DataFrame:
+    """df as stored below the folder under a digest of its settings and of its rows' hashes, written there if it isn't yet.
+
+    Whatever changes the content changes the digest, so no stale table is ever taken."""
+    import hashlib
+    import json
+
+    spark = df.sparkSession
+    n, hashes = df.agg(F.count(F.lit(1)), F.sum(F.xxhash64(*df.columns).cast("decimal(38,0)"))).first()
+    digest = hashlib.md5(json.dumps([name, settings, n, str(hashes), df.schema.json()], sort_keys=True).encode()).hexdigest()
+    found = checkpoint_or_none(spark, f"{folder}/{name}-{digest}")
+    if found is None:
+        df.write.mode("overwrite").parquet(f"{folder}/{name}-{digest}")
+    return spark.read.parquet(f"{folder}/{name}-{digest}")
+
+
+def saved_dataset(spark: SparkSession, source: str, local: str, split: str | None = None, order: str | None = None, most: int | None = None) -> DataFrame:
+    """A dataset (a folder with a Parquet folder a split, or one table) saved at ``local`` and read from there.
+
+    Several splits and none named is an error. What is saved already is taken, unless a number of rows is asked
+    for, which are the first in the given order."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(source)
+    found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(path) if split is None else []
+    splits = sorted(f.getPath().getName() for f in found if f.isDirectory() and not f.getPath().getName().startswith(("_", ".")))
+    if split is None and len(splits) > 1:
+        raise ValueError(f"name one of the splits {', '.join(splits)}")
+    split = split or (splits[0] if splits else None)
+    old = checkpoint_or_none(spark, local)
+    if old is None or most is not None:
+        rows = spark.read.parquet(f"{source}/{split}" if split else source)
+        if most is not None:
+            rows = rows.orderBy(order or rows.columns[0]).limit(most)
+        rows.write.mode("overwrite").parquet(local)
+    return spark.read.parquet(local)
+
+
+def read_chat_lists(spark: SparkSession, folder: str) -> DataFrame:
+    """Message lists below <folder>/<digits>/meta_datagen/chat_lists, .json arrays and .jsonl lines, with their run."""
+    schema = "messages array<struct<role:string,content:string>>, conversations array<struct<`from`:string,value:string>>, _corrupt_record string"
+    out = None
+    for glob, lines in (("*.json", False), ("*.jsonl", True)):
+        rows = spark.read.schema(schema).option("multiLine", not lines).option("recursiveFileLookup", True).option("pathGlobFilter", glob).json(folder)
+        rows = rows.withColumn("run", F.regexp_extract(F.col("_metadata.file_path"), r"/(\d+)/meta_datagen/chat_lists/[^/]+$", 1)).filter("run <> '' and _corrupt_record is null")
+        out = rows if out is None else out.unionByName(rows)
+    from ..functions.conversations import to_openai
+
+    return out.select(F.col("run").cast("int").alias("run"), F.coalesce("messages", to_openai("conversations")).alias("messages")).filter("messages is not null")
+
+
+def tokens_over(spark: SparkSession, paths: list[str], text: str = "text") -> DataFrame:
+    """(file, n_rows, n_tokens) over paths and globs of .json, .jsonl, .parquet and text files, each file once however often it is named."""
+    from ..functions.text import token_count
+
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    files = set()
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        files |= {f.getPath().toString() for f in path.getFileSystem(conf).globStatus(path) or []}
+    out = None
+    for ending in sorted({f.rsplit(".", 1)[-1] for f in files}):
+        own = sorted(f for f in files if f.rsplit(".", 1)[-1] == ending)
+        if ending in ("parquet", "pq"):
+            rows = spark.read.parquet(*own)
+        elif ending in ("json", "jsonl"):
+            rows = spark.read.schema(f"{text} string").option("multiLine", ending == "json").json(own)
+        else:
+            rows = spark.read.option("wholetext", True).text(own).withColumnRenamed("value", text)
+        one = rows.select(F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1).alias("file"), token_count(text).alias("n"))
+        out = one if out is None else out.unionByName(one)
+    if out is None:
+        raise FileNotFoundError(", ".join(paths))
+    return out.groupBy("file").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("n").alias("n_tokens"))

@@ -37,10 +37,54 @@ def write_by_source(df: DataFrame, path: str, source: str = "source_file") -> No
 
 
 def write_text_files(df: DataFrame, path: str, name: str = "path", text: str = "text") -> int:
-    """A folder for each relative name with the text in it; the number of texts."""
-    rows = df.select(F.col(name).alias("name"), F.col(text).alias("value"))
-    rows.write.mode("overwrite").partitionBy("name").text(path)
-    return rows.count()
+    """One file for each row, of its relative name, with the text in it; the number of files.
+
+    ``path`` is a URI that all executors reach (by pyarrow.fs). A file is written under a name of the attempt's own and then
+    moved to its place. Names that lead out of the folder are an error; of rows of one name one is kept."""
+    from pyarrow import fs
+
+    system, folder = fs.FileSystem.from_uri(path if "://" in path else f"file://{path}")
+    system.create_dir(folder, recursive=True)
+
+    def run(frames):
+        import pandas as pd
+
+        system, folder = fs.FileSystem.from_uri(path if "://" in path else f"file://{path}")
+        for pdf in frames:
+            for file, value in zip(pdf["name"], pdf["value"], strict=True):
+                if ".." in file.split("/") or file.startswith("/"):
+                    raise ValueError(f"{file} leads out of the folder")
+                system.create_dir(f"{folder}/{file}".rsplit("/", 1)[0], recursive=True)
+                own = f"{folder}/{file}.{uuid.uuid4().hex}"
+                with system.open_output_stream(own) as f:
+                    f.write((value or "").encode("utf-8", "replace"))
+                system.move(own, f"{folder}/{file}")
+            yield pd.DataFrame({"n": [len(pdf)]})
+
+    rows = df.select(F.col(name).alias("name"), F.col(text).alias("value")).dropDuplicates(["name"])
+    return rows.mapInPandas(run, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+
+
+def rewritten(spark, path: str, change, folder: str) -> str:
+    """The rows at ``path`` changed by a function of DataFrames, saved as a new version below the folder."""
+    return save_checkpoint(change(spark.read.parquet(path)), folder)
+
+
+def cleaned(spark, folder: str) -> bool:
+    """Delete a folder; whether there was one."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    return bool(path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True))
+
+
+def preview(df: DataFrame, n: int = 1) -> list[dict]:
+    """The first rows, as dictionaries."""
+    return [r.asDict(recursive=True) for r in df.limit(n).collect()]
+
+
+def write_questions(qa: DataFrame, conversations: DataFrame, path: str) -> None:
+    """Questions and conversations of a run, each as JSONL."""
+    qa.write.mode("overwrite").json(f"{path}/questions")
+    conversations.write.mode("overwrite").json(f"{path}/conversations")
 
 
 def write_story_tiers(df: DataFrame, path: str, ratings: str = "ratings") -> None:
