@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import col
+from ..session import stored
 
 QUERY_BLOCK = 1024
 
@@ -60,6 +61,57 @@ def _nearest_in_block(rows: DataFrame, part: pa.Table, k: int) -> DataFrame:
     return rows.mapInArrow(run, "query_id long, id long, distance double")
 
 
+def near_by_planes(rows: DataFrame, k: int, tables: int = 8, bits: int | None = None, window: int = 64, seed: int = 7) -> DataFrame:
+    """(query_id, rank, id, distance): about the k nearest others of each row of (id, embedding), by squared distance.
+
+    In each of ``tables`` tables rows stand in the order of the signs of their products with random planes (``bits`` of them, by
+    default twice the logarithm of the number of rows) and then of one more product; a row is compared with the ``window``
+    that follow it there, in runs that range partitions hold, so the work is rows * tables * window whatever the
+    number of rows of one sign pattern. An approximation: what no table brings near is not found.
+    """
+    usable = rows.select(F.col("id").cast("long").alias("id"), F.col("embedding").cast("array<double>").alias("embedding")).filter("id is not null and size(embedding) > 0")
+    usable = stored(usable, "vectors")
+    first = usable.agg(F.count(F.lit(1)), F.max(F.size("embedding"))).first()
+    dims, bits = first[1] or 1, min(62, bits or max(4, 2 * int(math.log2(max(first[0], 2)))))
+    rng = np.random.default_rng(seed)
+    planes = rows.sparkSession.sparkContext.broadcast(rng.normal(size=(tables, bits + 1, dims)))
+    found = None
+    for t in range(tables):
+
+        def keyed(batches, t=t):
+            for batch in batches:
+                x = np.array([np.resize(np.array(v, np.float64), planes.value.shape[2]) for v in batch.column(1).to_pylist()]).reshape(batch.num_rows, -1)
+                products = x @ planes.value[t].T
+                signs = (products[:, :-1] > 0) @ (np.int64(1) << np.arange(products.shape[1] - 1))
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(signs.astype(np.int64)), pa.array(products[:, -1])], names=["id", "embedding", "signs", "along"])
+
+        def pairs(batches, k=k, window=window):
+            tail: list = []
+            for batch in batches:
+                own = tail + list(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True))
+                x = [np.array(v) for _, v in own]
+                out = []
+                for j in range(len(tail), len(own)):
+                    near = range(max(0, j - window), j)
+                    out += [(own[j][0], own[i][0], float(((x[j] - x[i]) ** 2).sum())) for i in near if len(x[i]) == len(x[j])]
+                tail = own[-window:]
+                best = sorted(out + [(b, a, d) for a, b, d in out], key=lambda e: (e[0], e[2], e[1]))
+                kept, last, n = [], None, 0
+                for e in best:
+                    n = n + 1 if e[0] == last else 1
+                    last = e[0]
+                    if n <= k and e[0] != e[1]:
+                        kept.append(e)
+                yield pa.RecordBatch.from_arrays([pa.array([e[0] for e in kept], pa.int64()), pa.array([e[1] for e in kept], pa.int64()), pa.array([e[2] for e in kept], pa.float64())], names=["query_id", "id", "distance"])
+
+        ordered = usable.mapInArrow(keyed, "id long, embedding array<double>, signs long, along double").repartitionByRange("signs", "along", "id").sortWithinPartitions("signs", "along", "id")
+        one = ordered.mapInArrow(pairs, "query_id long, id long, distance double")
+        found = one if found is None else found.unionByName(one)
+    best = found.groupBy("query_id", "id").agg(F.min("distance").alias("distance"))
+    rank = F.row_number().over(Window.partitionBy("query_id").orderBy("distance", "id"))
+    return best.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "id", "distance")
+
+
 def terms(text) -> Column:
     return F.regexp_extract_all(F.lower(col(text)), F.lit(r"([a-z0-9_]+)"), F.lit(1))
 

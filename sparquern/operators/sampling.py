@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import hash_ratio
+from ..functions.text import hash_index, hash_ratio
 from .keys import ordinals
 
 SEED = 1048596
@@ -68,6 +68,19 @@ def negatives(df: DataFrame, key: str, n: int, seed: int = SEED) -> DataFrame:
     return wanted.join(ring.select("_at", F.col(key).alias("other")), "_at").filter(F.col("_own") != F.col("other")).select(F.col("_own").alias(key), "step", "other")
 
 
+def negative_contexts(chunks: DataFrame, key: str, text: str, most: int, failed: float, seed: int = SEED) -> DataFrame:
+    """(key, failed, contexts): for a share ``failed`` of the rows by hash 1 .. ``most`` other rows' texts, else the row's own
+    and up to ``most`` - 1 others, in an order by hash. Others come from the ring of negatives()."""
+    own = F.col(key).cast("string")
+    drawn = chunks.select(key, (hash_ratio(own) < failed).alias("failed"), (hash_index(F.concat(own, F.lit("n")), most) + 1).alias("_n"))
+    pairs = negatives(chunks, key, most, seed).join(drawn, key).filter(F.col("step") <= F.col("_n") - F.when(F.col("failed"), 0).otherwise(1))
+    chosen = pairs.select(key, "other").unionByName(drawn.filter("not failed").select(key, F.col(key).alias("other")))
+    texts = chosen.join(chunks.select(F.col(key).alias("other"), F.col(text).alias("_text")), "other")
+    order = F.md5(F.concat(own, F.lit("|"), F.col("other").cast("string")).cast("binary"))
+    listed = texts.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(order.alias("o"), "_text"))).alias("_c"))  # at most ``most``
+    return drawn.join(listed, key, "left").select(key, "failed", F.coalesce(F.transform("_c", lambda c: c["_text"]), F.array().cast("array<string>")).alias("contexts"))
+
+
 def json_order(df: DataFrame, prompt: str, tie: str, k: int | None = None) -> DataFrame:
     """Rows in the order of the sha256 of the prompt's JSON, numbered in ``place``: a repeatable shuffle; the first k only, if given."""
     hashed = df.withColumn("_h", F.sha2(F.to_json(prompt), 256))

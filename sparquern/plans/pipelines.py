@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import conversations as C
+from ..functions import stories as S
 from ..functions import text as T
 from ..functions import verdicts as V
 from ..operators import chunking, keys, quality, retrieval, sampling, segments
@@ -29,6 +30,7 @@ RULES = RuleEngine(
         (r"^THINK\n(.{1,60}).*", r"<think>about it</think>\1"),
         (r"^LABEL\n.*", "Final label: other"),
         (r"^(?:EMOTION|FEATURES|STORY)\n(.{1,40}).*", r"\1"),
+        (r"^CARD\n(\w+).*", r"Name: \1\nPersonality:\n- calm"),
         (r"^RATE\n.*", "good"),
     ]
 )
@@ -43,6 +45,7 @@ class Settings:
     group: int = 3
     variations: int = 2
     neighbours: int = 3
+    failures: float = 0.1
 
 
 def chunks(docs: DataFrame, s: Settings) -> DataFrame:
@@ -105,10 +108,12 @@ def single_source_qa(docs: DataFrame, engine: Engine = RULES, s: Settings = Sett
     return {"qa": qa, "groups": groups.select("pack_id", turns.alias("conversations"))}
 
 
-def multi_source_qa(docs: DataFrame, vectors: DataFrame, engine: Engine = RULES, s: Settings = Settings()) -> DataFrame:
-    """Questions on a chunk together with its neighbours' texts. ``vectors``: (row_key, id, embedding) of the chunks."""
+def multi_source_qa(docs: DataFrame, vectors: DataFrame, engine: Engine = RULES, s: Settings = Settings(), tables: int = 8, bits: int | None = None) -> DataFrame:
+    """Questions on a chunk together with its neighbours' texts. ``vectors``: (row_key, id, embedding) of the chunks.
+
+    Neighbours come from an index of random hyperplanes (retrieval.near_by_planes), so no chunk meets all others."""
     good = suitable(chunks(docs, s), engine).join(vectors.select("row_key", "id"), "row_key")
-    near = retrieval.nearest(vectors, vectors, s.neighbours, id_="id").filter("id <> query_id")
+    near = retrieval.near_by_planes(vectors.select("id", "embedding"), s.neighbours, tables, bits)
     texts = near.join(good.select("id", F.substring("text", 1, 6000).alias("t")), "id").groupBy("query_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rank", "t"))), lambda x: x["t"]), "\n\n").alias("more"))
     joined = good.join(texts, good["id"] == texts["query_id"], "left").select("row_key", F.concat_ws("\n\n", "text", "more").alias("text"), "metadata")
     return questions(joined, engine)
@@ -124,16 +129,27 @@ def representation_variation(docs: DataFrame, engine: Engine = RULES, s: Setting
 
 
 def stories(docs: DataFrame, engine: Engine = RULES, s: Settings = Settings()) -> DataFrame:
-    """Stories with ratings; all steps of a chunk run one after the other."""
-    steps = [Step("emotion", "EMOTION\n{text}", "emotion", engine), Step("features", "FEATURES\n{emotion} {text}", "features", engine), Step("story", "STORY\n{features} {text}", "story", engine), Step("rate", "RATE\n{story}", "rating", engine)]
-    return depth_first(steps, chunks(docs, s)).withColumn("ratings", F.create_map(F.lit("quality"), F.col("rating")))
+    """Stories with a character's card, ratings and tier; all steps of a chunk run one after the other. Stories of one name
+    share the card of the first of them."""
+    steps = [
+        Step("emotion", "EMOTION\n{text}", "emotion", engine, valid=lambda v, _: (bool(v.strip()), "empty")), Step("features", "FEATURES\n{emotion} {text}", "features", engine),
+        Step("card", "CARD\n{features} {text}", "card", engine), Step("story", "STORY\n{card} {text}", "story", engine), Step("rate", "RATE\n{story}", "rating", engine),
+    ]
+    rows = depth_first(steps, chunks(docs, s))
+    rows = rows.withColumns({"emotion": S.emotion_line("emotion"), "name": F.coalesce(T.base_name(S.card_name("card")), F.lit(""))}).withColumn("ratings", F.create_map(F.lit("quality"), F.lower("rating")))
+    named = segments.canonical_first(rows, "name", "row_key", ["card"])
+    tier = F.when(V.story_ok(F.col("ratings"), ("incredible",)), "incredible").when(V.story_ok(F.col("ratings")), "good").otherwise("other")
+    return named.withColumns({"tier": tier, "conversations": S.story_conversation(F.col("card"), F.col("story"), F.col("name"))})
 
 
 def rag_data(docs: DataFrame, engine: Engine = RULES, s: Settings = Settings()) -> DataFrame:
-    """Groups of questions with contexts of other chunks, as masked segments."""
+    """Groups of questions, each with the texts that retrieval might have found: its own among others, or for a share of
+    failures others alone; as segments of which the focus is learned."""
     good = suitable(chunks(docs, s), engine)
     qa = questions(good, engine)
-    numbered = keys.ordinals(qa, "row_key", name="n").withColumn("group", F.floor(F.col("n") / s.group))
+    found = sampling.negative_contexts(good, "row_key", "text", s.neighbours, s.failures).withColumnRenamed("row_key", "parent_key")
+    asked = qa.join(found, "parent_key").withColumn("question", F.concat(F.array_join("contexts", "\n\n"), F.lit("\n\n"), F.col("question")))
+    numbered = keys.ordinals(asked, "row_key", name="n").withColumn("group", F.floor(F.col("n") / s.group))
     return segments.group_segments(numbered, "group", "n", "question", "answer")
 
 
@@ -206,13 +222,29 @@ def complete_dataset(docs: DataFrame, engine: Engine = RULES, s: Settings = Sett
     return {"pretrain": chosen, "qa": qa["qa"], "chats": talks, "corrections": corrections(docs, engine, s), "rag": rag_data(docs, engine, s)}
 
 
-def meta_dataset(steps: list[DataFrame], names: list[str], key: str = "row_key") -> DataFrame:
-    """Training rows from the call details that steps left behind."""
+def meta_dataset(steps: list[DataFrame], names: list[str], key: str = "row_key", prompts: dict[str, str] | None = None, shots: int | None = None) -> DataFrame:
+    """Training rows from the call details that steps left behind. ``prompts``: other wordings of system prompts, which half of
+    the chats take; ``shots``: so many example pairs of a chat stay."""
     out = None
     for rows, name in zip(steps, names, strict=True):
         one = segments.meta_rows(rows.select(F.col(key).alias("row_key"), F.col(f"{name}_details").alias("details")), "row_key").withColumn("step", F.lit(name))
         out = one if out is None else out.unionByName(one)
+    if prompts:
+        first = F.get("messages", F.lit(0))
+        said = S.prompts_replaced(out.withColumns({"_k": F.concat_ws("#", "row_key", "step", "call"), "_p": F.when(first["role"] == "system", first["content"])}), "_p", prompts, "_k")
+        changed = F.transform("messages", lambda m, i: F.struct(m["role"].alias("role"), F.when((i == 0) & F.col("_p").isNotNull(), F.col("_p")).otherwise(m["content"]).alias("content")))
+        out = said.withColumn("messages", changed).drop("_k", "_p")
+    if shots is not None:
+        # the last turn is the reply, which stays whatever examples go
+        n = F.size("messages")
+        kept = C.to_openai(C.fewshot(C.to_sharegpt(F.slice("messages", F.lit(1), F.greatest(n - 1, F.lit(0)))), F.concat_ws("#", "row_key", "call"), shots))
+        out = out.withColumn("messages", F.when(n > 0, F.concat(kept, F.slice("messages", n, F.lit(1)))))
     return out
 
 
-PIPELINES = {f.__name__: f for f in (single_source_qa, multi_source_qa, representation_variation, stories, rag_data, corrections, cleaned_files, rephrased, classifier, grpo_examples, rag_answers, complete_dataset, meta_dataset)}
+def template_pipeline(docs: DataFrame, engine: Engine = RULES, s: Settings = Settings(), template: str = "FACTS\n{text}") -> DataFrame:
+    """The smallest pipeline: chunks and one step, to start others from."""
+    return Step("reply", template, "reply", engine).over(chunks(docs, s))
+
+
+PIPELINES = {f.__name__: f for f in (single_source_qa, multi_source_qa, representation_variation, stories, rag_data, corrections, cleaned_files, rephrased, classifier, grpo_examples, rag_answers, complete_dataset, meta_dataset, template_pipeline)}

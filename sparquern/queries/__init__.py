@@ -1,3 +1,3 @@
 """Queries over the tables, each with its oracle; importing them registers them."""
 
-from . import conversations, documents, quality, retrieval, stories, texts  # noqa: F401
+from . import conversations, documents, plans, quality, retrieval, stories, texts  # noqa: F401

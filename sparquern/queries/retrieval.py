@@ -74,7 +74,12 @@ def passage_locate(spark, sf_dir):
     return R.located(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).select("item_id", "doc_id")
 
 
-@query()
+@query("""WITH b AS (SELECT item_id, regexp_replace(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^a-z0-9]', '', 'g') AS norm FROM benchmark),
+d AS (SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '(?s).') AS chars FROM documents),
+k AS (SELECT doc_id, chars, list_filter(range(1, len(chars) + 1), lambda i: regexp_full_match(chars[i], '[a-z0-9]')) AS kept FROM d),
+f AS (SELECT doc_id, kept, array_to_string(list_transform(kept, lambda i: chars[i]), '') AS flat FROM k),
+hits AS (SELECT item_id, doc_id, kept, strpos(flat, norm) AS pos, length(norm) AS n FROM f, b WHERE norm <> '' AND contains(flat, norm))
+SELECT item_id, doc_id, (kept[pos] - 1)::INTEGER AS start, kept[pos + n - 1]::INTEGER AS "end" FROM hits""")
 def passage_offsets(spark, sf_dir):
     return R.located(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 

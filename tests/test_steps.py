@@ -7,6 +7,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from sparquern.functions import stories as S
 from sparquern.functions import text as T
 from sparquern.operators import chunking, keys, parsers, quality, retrieval, sampling
 from sparquern.operators.steps import HttpEngine, RuleEngine, Step, cached_reply, call_log, depth_first, load_prompt, one_to_many, render, varied, voted
@@ -310,6 +311,114 @@ def test_cases_of_any_letters(spark):
         assert out[i]["random"].lower().replace("ss", "ß") == t.lower()
 
 
+def test_conversation_checks():
+    pairs = [("What is the colour of the river?", "It is green as grass in the early spring."), ("And of the sea?", "The sea is grey, they say, and seldom blue.")]
+    turns = [x for q, a in pairs for x in (("User", "Well, " + q), ("AI Assistant", a + " Yes."))]
+    greeting = [("User", "Hello there, friend of mine"), ("AI Assistant", "Good day to you, whoever you are")]
+    assert parsers.long_enough(turns, pairs) and not parsers.long_enough(turns[:3], pairs)
+    assert parsers.answers_kept(turns, pairs, 15) and parsers.answers_kept(greeting + turns, pairs, 15)
+    assert not parsers.answers_kept([turns[0], turns[1], turns[2], ("AI Assistant", "nothing of the kind was said")], pairs, 15)
+    assert parsers.questions_kept(turns, pairs, 15) is True and parsers.questions_kept(greeting + turns, pairs, 15) is True
+    assert parsers.questions_kept([("User", "Something else altogether"), *turns[1:2], ("User", "and so on"), turns[3]], pairs, 15) is None
+    assert parsers.questions_kept([turns[0], turns[1], ("User", "no such thing"), turns[3]], pairs, 15) is False
+    assert parsers.no_foreign_quotes(turns, pairs, 15)
+    assert not parsers.no_foreign_quotes([*turns[:2], ("AI Assistant", pairs[1][1]), turns[3]], pairs, 15)
+    text = "".join(f"**{who if who == 'User' else 'AI Assistant'}:** {said}\n" for who, said in turns)
+    assert parsers.faithful_dialogue(text, pairs) and not parsers.faithful_dialogue(text.replace("grass", "moss").replace("early", "late").replace("green", "red"), pairs)
+
+
+def test_story_columns(spark):
+    df = spark.createDataFrame([("**Name:** Mirela\nPersonality:\n- calm\nScene: a cave", "style\nRating: **good**\nplot\nRating: poor."), (None, "style\nRating: odd")], "card string, rated string")
+    out = df.select(parsers.card_column("card").alias("c"), parsers.ratings_column("rated", ["style", "plot"]).alias("r")).collect()
+    assert out[0]["c"]["Name"] == ["Mirela"] and out[0]["c"]["Personality"] == ["calm"] and out[0]["r"] == {"style": "good", "plot": "poor"}
+    assert out[1]["c"] is None and out[1]["r"] is None
+    texts = ["JOY: bright", " ", "x " * 601, "again and again, " * 9, None]
+    ok = [r[0] for r in spark.createDataFrame([(t,) for t in texts], "t string").select(S.emotion_ok("t")).collect()]
+    assert ok == [True, False, False, False, False]
+    one = lambda c: spark.range(1).select(c).first()[0]
+    assert one(S.card_name(F.lit("no name"))) is None and one(S.conversation_starter(F.lit("nothing"), F.lit("k"))) in S.STARTERS
+    assert one(S.string_list(F.lit("[1]"))) is None and one(S.string_list(F.lit("['a']"))) == ["a"]
+
+
+def test_files_caches_and_saved_datasets(spark, tmp_path, rows):
+    uri = f"file://{tmp_path}"
+    files = rows.select(F.concat(F.lit("a/b/"), "metadata").alias("path"), "text")
+    assert sinks.write_text_files(files, f"{uri}/files") == 3
+    assert (tmp_path / "files/a/b/f1.txt").read_text() == TEXTS[1] and len(list(tmp_path.glob("files/a/b/*"))) == 3
+    with pytest.raises(Exception, match="leads out"):
+        sinks.write_text_files(files.withColumn("path", F.lit("../x")), f"{uri}/files")
+    readers.cached(rows, uri, "rows", {"most": 5})
+    readers.cached(rows, uri, "rows", {"most": 5})
+    readers.cached(rows.withColumn("text", F.upper("text")), uri, "rows", {"most": 5})
+    assert len(list(tmp_path.glob("rows-*"))) == 2 and readers.cached(rows, uri, "rows", {"most": 5}).count() == 3
+    readers.vector_index(rows, f"{uri}/index")
+    changed = rows.withColumn("text", F.when(F.col("row_key") == "k1", "other").otherwise(F.col("text")))
+    assert "other" in [r["text"] for r in readers.vector_index(changed, f"{uri}/index").collect()]
+    rows.write.parquet(f"{uri}/hub/train")
+    assert readers.saved_dataset(spark, f"{uri}/hub", f"{uri}/local", order="row_key", most=2).count() == 2
+    assert readers.saved_dataset(spark, f"{uri}/hub", f"{uri}/local").count() == 2
+    rows.write.parquet(f"{uri}/hub/test")
+    with pytest.raises(ValueError, match="test, train"):
+        readers.saved_dataset(spark, f"{uri}/hub", f"{uri}/other")
+    path = sinks.rewritten(spark, f"{uri}/local", lambda df: df.withColumn("text", F.lit("x")), f"{uri}/versions")
+    assert sinks.preview(spark.read.parquet(path), 5)[0]["text"] == "x" and sinks.cleaned(spark, f"{uri}/versions") and not sinks.cleaned(spark, f"{uri}/versions")
+    (tmp_path / "7/meta_datagen/chat_lists").mkdir(parents=True)
+    (tmp_path / "7/meta_datagen/chat_lists/a.jsonl").write_text('{"messages": [{"role": "user", "content": "hi"}]}\n{broken\n')
+    (tmp_path / "7/meta_datagen/chat_lists/b.json").write_text('[{"conversations": [{"from": "human", "value": "ho"}]}]')
+    found = sorted((r["run"], r["messages"][0]["role"], r["messages"][0]["content"]) for r in readers.read_chat_lists(spark, uri).collect())
+    assert found == [(7, "user", "hi"), (7, "user", "ho")]
+    (tmp_path / "t.txt").write_text("one two three")
+    counts = {r["file"]: (r["n_rows"], r["n_tokens"]) for r in readers.tokens_over(spark, [f"{uri}/t.txt", f"{uri}/*.txt"]).collect()}
+    assert counts == {"t.txt": (1, 3)}
+    with pytest.raises(FileNotFoundError):
+        readers.tokens_over(spark, [f"{uri}/none*"])
+
+
+def test_neighbours_by_planes(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    centres = rng.normal(size=(40, 12))
+    vectors = np.concatenate([c + 0.05 * rng.normal(size=(15, 12)) for c in centres])
+    df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(vectors)], "id long, embedding array<float>").repartition(3)
+    found = {(r["query_id"], r["id"]) for r in retrieval.near_by_planes(df, 3).collect()}
+    d = ((vectors[:, None] - vectors[None]) ** 2).sum(axis=2)
+    np.fill_diagonal(d, np.inf)
+    exact = {(i, int(j)) for i in range(len(vectors)) for j in np.argsort(d[i])[:3]}
+    assert len(found & exact) >= 0.9 * len(exact)
+    assert retrieval.near_by_planes(df.limit(0), 3).count() == 0
+
+
+def test_stories_and_contexts(spark):
+    docs = spark.createDataFrame([("f", "\n\n".join(TEXTS))], "metadata string, text string")
+    settings = P.Settings(most_tokens=20, neighbours=2, failures=0.5)
+    told = P.stories(docs, s=settings).collect()
+    assert told and all(r["tier"] == "good" and r["conversations"][0]["from"] == "system" and r["name"] for r in told)
+    rag = P.rag_data(docs, s=settings).collect()
+    assert rag and any(sum(t in x["text"] for t in TEXTS) for r in rag for x in r["segments"])
+    step = Step("s", [{"role": "system", "content": "be brief"}, {"role": "user", "content": "{text}"}], "r", RuleEngine([], "ok"))
+    made = step.over(P.chunks(docs, settings), details=True)
+    rows = P.meta_dataset([made], ["s"], prompts={"be brief": "say little"}, shots=1).collect()
+    assert {r["messages"][0]["content"] for r in rows} <= {"be brief", "say little"} and all(r["messages"][-1] == ("assistant", "ok") for r in rows)
+
+
+def test_united_rows_keep_all_keys(spark):
+    a, b = spark.createDataFrame([(0, "x"), (1, "y")], "n int, t string"), spark.createDataFrame([(0, "z"), (1, "x")], "n int, t string")
+    assert sorted(map(tuple, keys.united([a, b], "t").collect())) == [(0, "x"), (0, "z"), (1, "y")]
+
+
+def test_scratch_folder_of_clusters():
+    from types import SimpleNamespace
+
+    from sparquern.session import scratch_dir
+
+    session = lambda conf, told, master: SimpleNamespace(conf=SimpleNamespace(get=lambda k, d: conf), sparkContext=SimpleNamespace(getCheckpointDir=lambda: told, master=master))
+    assert scratch_dir(session("hdfs://a/", None, "yarn")) == "hdfs://a" and scratch_dir(session(None, "hdfs://b", "yarn")) == "hdfs://b"
+    with pytest.raises(ValueError, match="checkpoint"):
+        scratch_dir(session(None, None, "yarn"))
+    assert scratch_dir(session(None, None, "local[2]")).startswith("file:///")
+
+
 def test_metrics_of_nothing(spark):
     empty = spark.createDataFrame([], "a int, b int")
     assert tuple(quality.accuracy(empty, "a", "b").first()) == (0, None)
