@@ -55,6 +55,7 @@ class PieceCache(dict):
         self.table = str.maketrans(self.letters)
         self.bound = bound
         self.recent: dict = {}
+        self.signs: dict[str, bytes] = {}
 
     def encode(self, text: str) -> bytes:
         return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -62,18 +63,26 @@ class PieceCache(dict):
     def ids(self, text: str) -> bytes:
         return self.encode(text) if "<" in text and self.added(text) else self.piecewise(text)
 
+    def merged(self, text: str) -> bytes:
+        """The ids of a text that the pattern doesn't part."""
+        return array("I", [t.id for t in self.merges(text.encode().decode("latin-1").translate(self.table))]).tobytes()
+
+    def sign_ids(self, signs: str) -> bytes:
+        """The ids of signs that follow a word; there are few kinds of them."""
+        found = self.signs.get(signs)
+        if found is None:
+            if len(self.signs) > 1 << 14:
+                self.signs.clear()
+            found = self.signs[signs] = self.merged(signs)
+        return found
+
     def encode_piece(self, text: str) -> bytes:
-        merges, table = self.merges, self.table
         if m := self.PLAIN.fullmatch(text):
             word, signs = m.groups()
-            tokens = merges(word.encode().decode("latin-1").translate(table))
-            if signs:
-                tokens += merges(signs)
-        elif self.COMMON.fullmatch(text):
-            tokens = [t for part in self.parts(text) for t in merges(part.encode().decode("latin-1").translate(table))]
-        else:
-            return self.encode(text)
-        return array("I", [t.id for t in tokens]).tobytes()
+            return self.merged(word) + self.sign_ids(signs) if signs else self.merged(word)
+        if self.COMMON.fullmatch(text):
+            return b"".join(map(self.merged, self.parts(text)))
+        return self.encode(text)
 
     def keep(self, piece, ids: bytes) -> bytes:
         """The first ``bound`` pieces stay for good, among them the frequent ones; later ones until a quarter as many have come."""
@@ -97,8 +106,22 @@ class SpacedPieces(PieceCache):
     CUT = re.compile(r"(?<=[^\s]) (?=[^\s])")
     RARE = re.compile(r"[\t\r\x0b\x0c\x1c-\x1f\x85\xa0  -     　]")
 
+    #: A line's last word and the next line's first one, each with its signs.
+    LINES = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+[!-&(-/:-@\[-`{-~]*)\n([A-Za-zÀ-ÖØ-öø-ÿ]+[!-&(-/:-@\[-`{-~]*)")
+
     def __missing__(self, part: str) -> bytes:
-        return self.recent.get(part) or self.keep(part, self.encode_piece(" " + part))
+        found = self.recent.get(part)
+        if found is not None:
+            return found
+        if m := self.PLAIN.fullmatch(part):
+            word, signs = m.groups()
+            if signs:  # the word alone may be known
+                return self.keep(part, self[word] + self.sign_ids(signs))
+            if word.isascii():  # all letters but the blank stand for themselves
+                return self.keep(part, array("I", [t.id for t in self.merges("Ġ" + word)]).tobytes())
+        elif m := self.LINES.fullmatch(part):
+            return self[m[1]] + self.sign_ids("\n") + self.encode_piece(m[2])
+        return self.keep(part, self.encode_piece(" " + part))
 
     def piecewise(self, text: str) -> bytes:
         if not text:
@@ -113,11 +136,18 @@ class WordPieces(PieceCache):
     """For a BPE of lower-case text that drops white space and never joins text across it."""
 
     PATTERN = WORD_PATTERN
+    #: PLAIN in bytes.
+    SIGNED = re.compile(rb"([A-Za-z]+)([!-&(-/:-@\[-`{-~]*)")
 
     def __missing__(self, word: bytes) -> bytes:
         found = self.recent.get(word)
         if found is not None:
             return found
+        if word.isascii() and (m := self.SIGNED.fullmatch(word)):
+            plain, signs = m.groups()
+            if signs:  # the word alone may be known
+                return self.keep(word, self[plain] + self.sign_ids(signs.decode()))
+            return self.keep(word, array("I", [t.id for t in self.merges(plain.decode().lower())]).tobytes())
         text = word.decode("utf-8", "replace")
         return self.keep(word, self.encode_piece(text.lower() if self.COMMON.fullmatch(text) else text))
 
