@@ -116,10 +116,24 @@ def arrow_map(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], Itera
         if finish is not None:
             for out in finish():
                 yield pa.RecordBatch.from_arrays([_array(out[f.name], f.type) for f in arrow], schema=arrow)
+        del work, finish
+        give_back()
 
     return df.mapInArrow(run, schema)
 
 
+def give_back() -> None:
+    """Return the memory of a task that ended to the system, as a worker waits for its next task with what it holds."""
+    import ctypes
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
 def _array(values, kind: pa.DataType) -> pa.Array:
     if isinstance(values, pa.ChunkedArray):
         values = values.combine_chunks()
