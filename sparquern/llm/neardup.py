@@ -32,7 +32,7 @@ from .shared import WordHashes, arrow_map, checkpointed, free_shuffles, list_arr
 from .sharding import numbered
 
 K, HOT, REACH, BLOCK, FILTER_BITS = 48, 32, 16, 256, 1 << 24
-BLOCK_SHINGLES, COLUMNS = 1 << 20, 1 << 13
+BLOCK_SHINGLES, COLUMNS = 1 << 18, 1 << 12
 FACTORS = mixed(np.arange(101, 101 + 64, dtype=np.int64)) | np.uint64(1)
 
 
