@@ -484,3 +484,21 @@ def test_classifier(spark):
     engine = RuleEngine([("good", "Final label: pos"), ("bad", "Final label: neg")])
     _, accuracy, rows = P.classifier(docs, engine, ["neg", "pos"], 50, 20)
     assert accuracy > 0.9 and rows.count() == 70
+
+
+def test_questions_by_text_hold_no_list_of_a_paragraph(spark):
+    rows = [("p", i, f"q{i}", None if i % 5 == 2 else "ä" * i) for i in range(23)] + [("p", None, "late", "x"), ("none", 1, "q", None), (None, 3, "n", "y"), ("", 1, "", "")]
+    df = spark.createDataFrame(rows, "paragraph string, n int, question string, answer string").repartition(3)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2")
+    try:
+        made = keys.questions_by_text(df, "paragraph", "question", "answer", "n")
+        found = {r["paragraph"]: r["question_answer_pairs"] for r in made.collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    wanted = {}
+    for p, _, q, a in sorted(rows, key=lambda r: (r[1] is None, r[1] or 0)):
+        wanted.setdefault(p, []).extend([] if a is None else [f"**QUESTION:**\n{q}\n\n**ANSWER:**\n{a}\n"])
+    assert found == {p: "\n\n".join(blocks) if blocks else None for p, blocks in wanted.items()} and made.columns == ["paragraph", "question_answer_pairs"]
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert "collect_list" not in plan and "Window" not in plan
+    assert keys.questions_by_text(df.limit(0), "paragraph", "question", "answer", "n").count() == 0
