@@ -190,25 +190,36 @@ def read_chat_lists(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def tokens_over(spark: SparkSession, paths: list[str], text: str = "text") -> DataFrame:
-    """(file, n_rows, n_tokens) over paths and globs of .json, .jsonl, .parquet and text files, each file once however often it is named."""
+    """(file, n_rows, n_tokens) over paths and globs of .json, .jsonl, .parquet and text files, each file once however often it is named.
+
+    A folder with a dataset's ending is a table in parts, which counts as one file of the folder's name; so do its parts if
+    they are named too. A file without rows has 0 rows and, as in SQL, no sum of tokens."""
     from ..functions.text import token_count
 
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    files = set()
+    ending = lambda f: f.rsplit(".", 1)[-1]
+    found: dict[str, bool] = {}
     for p in paths:
         path = jvm.org.apache.hadoop.fs.Path(p)
-        files |= {f.getPath().toString() for f in path.getFileSystem(conf).globStatus(path) or []}
-    out = None
-    for ending in sorted({f.rsplit(".", 1)[-1] for f in files}):
-        own = sorted(f for f in files if f.rsplit(".", 1)[-1] == ending)
-        if ending in ("parquet", "pq"):
+        found |= {f.getPath().toString(): f.isDirectory() for f in path.getFileSystem(conf).globStatus(path) or []}
+    if not found:
+        raise FileNotFoundError(", ".join(paths))
+    tables = {f for f, folder in found.items() if folder and ending(f) in ("parquet", "pq", "json", "jsonl")}
+    above = lambda f: {f[:i] for i, x in enumerate(f) if x == "/"}
+    files = {f for f in found if not tables & above(f)}
+    # tables are read one by one, as each may have partitions and columns of its own.
+    groups = [([f], f.rsplit("/", 1)[-1]) for f in sorted(files & tables)]
+    groups += [(sorted(f for f in files - tables if ending(f) == kind), None) for kind in sorted({ending(f) for f in files - tables})]
+    named = [(f.rsplit("/", 1)[-1],) for f in sorted(files) if f in tables or not found[f]]
+    part = F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
+    out = spark.createDataFrame(named, "file string").select("file", F.lit(None).cast("long").alias("n"))
+    for own, name in groups:
+        kind = ending(own[0])
+        if kind in ("parquet", "pq"):
             rows = spark.read.parquet(*own)
-        elif ending in ("json", "jsonl"):
-            rows = spark.read.schema(f"{text} string").option("multiLine", ending == "json").json(own)
+        elif kind in ("json", "jsonl"):
+            rows = spark.read.schema(f"{text} string").option("multiLine", kind == "json").json(own)
         else:
             rows = spark.read.option("wholetext", True).text(own).withColumnRenamed("value", text)
-        one = rows.select(F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1).alias("file"), token_count(text).alias("n"))
-        out = one if out is None else out.unionByName(one)
-    if out is None:
-        raise FileNotFoundError(", ".join(paths))
-    return out.groupBy("file").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("n").alias("n_tokens"))
+        out = out.unionByName(rows.select((F.lit(name) if name else part).alias("file"), token_count(text).alias("n")))
+    return out.groupBy("file").agg(F.count("n").alias("n_rows"), F.sum("n").alias("n_tokens"))

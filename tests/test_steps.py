@@ -502,3 +502,16 @@ def test_questions_by_text_hold_no_list_of_a_paragraph(spark):
     plan = made._jdf.queryExecution().executedPlan().toString()
     assert "collect_list" not in plan and "Window" not in plan
     assert keys.questions_by_text(df.limit(0), "paragraph", "question", "answer", "n").count() == 0
+
+
+def test_tokens_over_tables_in_parts(spark, tmp_path):
+    uri = f"file://{tmp_path}"
+    rows = spark.createDataFrame([(i, None if i == 3 else "one two three"[: 3 + 4 * (i % 2)]) for i in range(6)], "n int, text string")
+    rows.repartition(3).write.parquet(f"{uri}/docs.parquet")
+    rows.write.partitionBy("n").parquet(f"{uri}/other table.parquet")
+    rows.filter("false").write.parquet(f"{uri}/empty.parquet")
+    (tmp_path / "a b+c%.txt").write_text("x y")
+    made = readers.tokens_over(spark, [f"{uri}/docs.parquet", f"{uri}/*.parquet", f"{uri}/docs.parquet/*.parquet", f"{uri}/*.txt"])
+    assert sorted(map(tuple, made.collect())) == [("a b+c%.txt", 1, 2), ("docs.parquet", 6, 7), ("empty.parquet", 0, None), ("other table.parquet", 6, 7)]
+    parts = readers.tokens_over(spark, [f"{uri}/docs.parquet/*.parquet"]).collect()
+    assert len(parts) == len(list((tmp_path / "docs.parquet").glob("*.parquet"))) and sum(r["n_rows"] for r in parts) == 6
