@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import json
+import os
+import subprocess
+import sys
 
 import pytest
 from pyspark.sql import functions as F
@@ -12,6 +15,7 @@ from sparquern.functions import text as T
 from sparquern.operators import chunking, keys, parsers, quality, retrieval, sampling
 from sparquern.operators.steps import HttpEngine, RuleEngine, Step, cached_reply, call_log, depth_first, load_prompt, one_to_many, render, varied, voted
 from sparquern.plans import pipelines as P
+from sparquern.session import ROOT
 from sparquern.sources import readers, sinks
 from sparquern.streaming import ingest
 
@@ -504,6 +508,41 @@ def test_questions_by_text_hold_no_list_of_a_paragraph(spark):
     assert keys.questions_by_text(df.limit(0), "paragraph", "question", "answer", "n").count() == 0
 
 
+LONG_ROW = """
+from pyspark.sql import functions as F
+from sparquern.operators import keys
+from sparquern.session import local_session
+
+spark = local_session(1, 2, "600m")
+df = spark.range(4500).select(F.lit("p").alias("paragraph"), F.col("id").alias("n"), F.lit("q").alias("question"), F.repeat(F.lit("x"), 1 << 16).alias("answer"))
+made = keys.questions_by_text(df, "paragraph", "question", "answer", "n")
+print(made.agg(F.count("*"), F.sum(F.octet_length("question_answer_pairs"))).first())
+"""
+
+
+def test_a_long_text_takes_its_length_of_the_heap_not_twice_as_much(tmp_path):
+    env = os.environ | {"PYTHONPATH": str(ROOT), "TMPDIR": str(tmp_path), "SPARK_LOCAL_DIRS": str(tmp_path)}
+    env.pop("PYSPARK_SUBMIT_ARGS", None)
+    done = subprocess.run([sys.executable, "-c", LONG_ROW], env=env, capture_output=True, text=True, timeout=300)
+    a_block = len("**QUESTION:**\nq\n\n**ANSWER:**\n\n\n\n") + (1 << 16)
+    assert f"=1, sum(octet_length(question_answer_pairs))={4500 * a_block - 2})" in done.stdout, done.stderr[-3000:]
+
+
+@pytest.mark.parametrize("long", [1, 40, 500])
+def test_halves_before_long_texts_are_dropped(spark, monkeypatch, long):
+    monkeypatch.setattr(keys, "LONG_TEXT", long)
+    rows = [(p, i, f"\n\n**QUESTION:**{i}", a) for p in ("a", None, "", "ä" * 20) for i, a in enumerate(["\n\n", "x" * 30, "", None, "ö" * len(p or "")])] + [("z", 1, None, "a")]
+    df = spark.createDataFrame(rows, "paragraph string, n int, question string, answer string")
+    made = keys.questions_by_text(df, "paragraph", "question", "answer", "n")
+    wanted = {}
+    for p, _, q, a in rows:
+        wanted.setdefault(p, []).extend([] if a is None or q is None else [f"**QUESTION:**\n{q}\n\n**ANSWER:**\n{a}\n"])
+    assert sorted(map(repr, map(tuple, made.collect()))) == sorted(repr((p, "\n\n".join(b) if b else None)) for p, b in wanted.items())
+    # a generated filter would make each row again, in a buffer of twice its length
+    lines = made._jdf.queryExecution().executedPlan().toString().split("\n")
+    assert any("Filter exists(" in x and "*(" not in x.split("Filter")[0] for x in lines)
+
+
 def test_tokens_over_tables_in_parts(spark, tmp_path):
     uri = f"file://{tmp_path}"
     rows = spark.createDataFrame([(i, None if i == 3 else "one two three"[: 3 + 4 * (i % 2)]) for i in range(6)], "n int, text string")
